@@ -26,6 +26,7 @@ def _irregular() -> tuple[str, str]:
         (char, fold_char(char))
         for char in map(chr, range(sys.maxunicode + 1))
         # A capital sigma becomes one of two letters depending on what follows it.
-        if char.lower() != fold_char(char) or char == "Σ"
+        # Marks are not word characters and must not become letters.
+        if (char.lower() != fold_char(char) or char == "Σ") and char.isalnum()
     ]
     return "".join(source for source, _ in pairs), "".join(target for _, target in pairs)

@@ -17,6 +17,7 @@ from ..functions.lexicon import (
     mask_literal,
     word_pattern,
 )
+from ..session import materialize
 
 Lexicon = DataFrame | Iterable[str | None]
 
@@ -53,7 +54,7 @@ def censor_messages(
     masked = F.transform(
         pieces,
         lambda piece: F.when(
-            F.array_contains("_hits", piece),
+            F.array_contains("_hits", fold(piece)),
             F.repeat(F.lit("*"), F.char_length(piece)) if mask == LENGTH_MASK else F.lit(mask),
         ).otherwise(piece),
     )
@@ -72,7 +73,7 @@ def drop_profane_messages(
     if isinstance(words, list):
         return drop_profane_messages(messages, words + phrases, 2 * max_pattern_chars)
     messages = _without_matches(messages, word_pattern(phrases))
-    hit = F.arrays_overlap("_hits", F.regexp_extract_all("text", F.lit(f"{WORD_CHAR}+"), F.lit(0)))
+    hit = F.arrays_overlap("_hits", _all_words(fold(F.col("text"))))
     kept = _with_hits(messages, words).where(~F.coalesce(hit, F.lit(False)))
     return kept.select(*messages.columns)
 
@@ -133,23 +134,34 @@ def _occurring(
     """The words of a large lexicon that the messages use, as a list if few, and its phrases."""
     if messages.isStreaming:
         raise ValueError("a lexicon of this size needs batches: censor inside a batch job")
-    folded = lexicon.select(fold(F.col("word")).alias("word")).where(F.col("word") != "").distinct()
-    is_word = F.col("word").rlike(f"^{WORD_CHAR}+$")
-    phrases = _collect_bounded(folded.where(~is_word), max_chars)
+    word = fold(F.col("word"))
+    # Stored, so that the test for plain words is not inferred for the words of the messages too.
+    folded = materialize(
+        lexicon.where(word != "")
+        .select(word.alias("word"), word.rlike(f"^{WORD_CHAR}+$").alias("is_plain"))
+        .distinct(),
+        "lexicon",
+    )
+    phrases = _collect_bounded(folded.where("not is_plain"), max_chars)
     if phrases is None:
         raise ValueError(f"more than {max_chars} characters of phrases in the lexicon")
     # Distinct on both sides: combined in each task first, and no key is hot.
     used = _words(messages).select("word").distinct()
-    present = folded.where(is_word).join(used, "word", "left_semi")
+    plain = folded.where("is_plain").select("word")
+    present = materialize(plain.join(used, "word", "left_semi"), "lexicon-used")
     words = _collect_bounded(present, max_chars)
     return (present if words is None else words), phrases
 
 
+def _all_words(text: str | Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"{WORD_CHAR}+"), F.lit(0))
+
+
 def _words(messages: DataFrame) -> DataFrame:
-    """(key, token, word): the distinct words of each text as written, and folded."""
-    tokens = F.array_distinct(F.regexp_extract_all("text", F.lit(f"{WORD_CHAR}+"), F.lit(0)))
-    exploded = messages.select(_key(), F.explode(tokens).alias("token"))
-    return exploded.withColumn("word", fold(F.col("token")))
+    """(key, word): the distinct folded words of each text."""
+    # The key is taken first, so that neither the text nor its hash is repeated for every word.
+    folded = messages.select(_key(), fold(F.col("text")).alias("folded"))
+    return folded.select("_key", F.explode(F.array_distinct(_all_words("folded"))).alias("word"))
 
 
 def _key() -> Column:
@@ -169,6 +181,6 @@ def _with_hits(messages: DataFrame, lexicon: DataFrame) -> DataFrame:
         .select("*", salt)
         .join(salted_lexicon, ["word", "_salt"])
         .groupBy("_key")
-        .agg(F.collect_set("token").alias("_hits"))
+        .agg(F.collect_set("word").alias("_hits"))
     )
     return messages.select("*", _key()).join(hits, "_key", "left")

@@ -16,7 +16,7 @@ LEXICON = [
 ]
 
 # Micro-batch bound of the streaming queries: a lost driver repeats at most this much.
-MAX_BYTES_PER_BATCH = "1t"
+MAX_BYTES_PER_BATCH = str(2**40)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "chatloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +41,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{tempfile.mkdtemp(prefix='chatloom-')}/{leaf}"
+
+
+def materialize(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` computed once into a table in the shared scratch folder, and read from there.
+
+    For a result that is used several times: unlike a cache it is still there after an executor is
+    lost.
+    """
+    path = scratch_dir(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

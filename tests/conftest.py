@@ -31,4 +31,4 @@ def spark(tmp_path_factory) -> SparkSession:
 
 @pytest.fixture(scope="session")
 def sf_dir() -> str:
-    return "/root/testdata/sf0.001"
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
