@@ -55,6 +55,8 @@ def mask_literal(mask: str) -> str:
 
 
 def _quote(char: str) -> str:
+    if char == "ß":  # has no upper case of its own, so its capital form must be named
+        return "[ßẞ]"
     return char if char == "_" or char.isalnum() else rf"\x{{{ord(char):x}}}"
 
 
