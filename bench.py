@@ -4,7 +4,7 @@ published loads. Prints one JSON line.
 BENCH_SF_DIR    test tables (default /root/testdata/sf0.1)
 BENCH_CPUS      local threads (default 8)
 BENCH_RUNS      timed runs per batch task, the median counts (default 3)
-BENCH_SECONDS   length of each streaming run (default 6, 0 leaves them out)
+BENCH_SECONDS   length of each streaming latency run (default 6, 0 leaves them out)
 """
 
 import json
@@ -31,7 +31,7 @@ from chatloom.operators import (  # noqa: E402
     top_users,
 )
 from chatloom.plans import views  # noqa: E402
-from chatloom.plans.catalog import QUERIES  # noqa: E402
+from chatloom.plans.catalog import AVAILABLE_NOW  # noqa: E402
 from chatloom.session import build_session, scratch_dir  # noqa: E402
 from chatloom.sources import dataset_prefix, read_messages, read_messages_stream  # noqa: E402
 from chatloom.streaming import write_messages_stream  # noqa: E402
@@ -46,7 +46,7 @@ SIZES = [34_650, 69_106, 237_531]
 LOADS = {"format": [31, 77, 123], "censor": [36, 80, 115]}
 
 TICK_S = 0.05
-WARM_UP_S = 3
+WARM_UP_S = 4
 FILES_PER_CPU = 8
 
 
@@ -115,11 +115,26 @@ def batch_times(spark, folder):
     times["compare_runs"] = timed(
         lambda: compare_runs(log, ["task"], "engine", "a", "b", "latency_us").collect()
     )
-    for name in ("stream_format", "stream_censor"):
-        times[name] = timed(lambda: drain(QUERIES[name](spark, SF_DIR)), runs=1)
+    raw.write.text(f"{folder}/raw")
+    for task in LOADS:
+        name = f"stream_{task}_{SIZES[-1]}"
+        times[name] = timed(lambda: drain_stream(spark, f"{folder}/raw", task), runs=1)
     return times
 
 
+def drain_stream(spark, source, task):
+    """Streams all stored raw values through a job into a new message table."""
+    out = scratch_dir(spark, task)
+    messages = transformed(spark, source, task)
+    query = write_messages_stream(messages, f"{out}/messages", f"{out}/checkpoint", AVAILABLE_NOW)
+    query.awaitTermination()
+
+
+def transformed(spark, source, task):
+    messages = format_messages(read_messages_stream(spark, source), carry=("arrived_at",))
+    return censor_messages(messages, views.LEXICON) if task == "censor" else messages
+
+
 def feed(values, folder, prefix, rate):
     """Drops JSON lines into ``folder`` at ``rate`` per second, one file per tick."""
     begun, sent = time.monotonic(), 0
@@ -143,12 +158,9 @@ def streaming_latency(spark, folder, task, rate):
     chat = dataset_prefix(views.chat(spark, SF_DIR), total)
     short = chat.withColumn("text", F.substring_index("text", " ", 12))
     values = [row["value"] for row in views.raw(short).collect()]
-    messages = format_messages(read_messages_stream(spark, str(incoming)), carry=("arrived_at",))
-    if task == "censor":
-        messages = censor_messages(messages, views.LEXICON)
-    query = write_messages_stream(
-        stamp_latency(messages, task), str(run / "out"), str(run / "checkpoint")
-    )
+    # About a hundred short messages per second: one task per batch is enough.
+    stamped = stamp_latency(transformed(spark, str(incoming), task), task).coalesce(1)
+    query = write_messages_stream(stamped, str(run / "out"), str(run / "checkpoint"))
     # The first batches compile the plan, so they are left out of the summary.
     feed(values[:warm], incoming, "warm", rate)
     query.processAllAvailable()
@@ -169,6 +181,12 @@ def main():
         spark__ui__enabled="false",
         spark__driver__memory="12g",
         spark__sql__shuffle__partitions=str(CPUS),
+        # Text work is bound by the processor, and the files are small: smaller splits use all of it.
+        spark__sql__files__maxPartitionBytes="8m",
+        spark__sql__files__openCostInBytes="256k",
+        # Without checksum files a local commit starts half as many processes to set permissions.
+        spark__hadoop__fs__file__impl="org.apache.hadoop.fs.RawLocalFileSystem",
+        spark__hadoop__fs__AbstractFileSystem__file__impl="org.apache.hadoop.fs.local.RawLocalFs",
     )
     spark.sparkContext.setLogLevel("ERROR")
     folder = scratch_dir(spark, "bench")

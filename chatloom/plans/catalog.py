@@ -78,11 +78,11 @@ def _format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarantine_messages(_damaged(spark, sf_dir))
+    return quarantine_messages(views.raw_with_damage(spark, sf_dir))
 
 
 def _format_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_messages(_damaged(spark, sf_dir))
+    return format_messages(views.raw_with_damage(spark, sf_dir))
 
 
 def _subscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +102,9 @@ def _prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prefix_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = views.table(spark, sf_dir, "events").count() * SMALLEST_RUN // LARGEST_RUN
-    left_over = views.raw_with_damage(
-        views.chat_headers(spark, sf_dir).withColumn("text", F.lit("")),
-        views.table(spark, sf_dir, "events"),
-    )
-    return dataset_prefix(format_messages(left_over), n, contiguous=False).drop("text")
+    # The search for the n-th id reads the headers several times, so the text is added afterwards.
+    prefix = dataset_prefix(views.headers_without_errors(spark, sf_dir), n, contiguous=False)
+    return views.with_text(prefix, views.table(spark, sf_dir, "documents"))
 
 
 def _latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,12 +189,6 @@ def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.raw_with_damage(
-        views.chat(spark, sf_dir), views.table(spark, sf_dir, "events")
-    )
-
-
 def _through_sink(messages: DataFrame, name: str) -> DataFrame:
     """Drains a stream into the message table and reads the table."""
     spark = messages.sparkSession
@@ -298,8 +290,7 @@ FROM chat WHERE event_type = 'error'""",
     "dataset_prefix": f"""{_CHAT}
 SELECT {_MESSAGE}, text FROM chat ORDER BY message_id LIMIT {_SMALLEST_SHARE}""",
     "dataset_prefix_with_holes": f"""{_CHAT}
-SELECT {_MESSAGE}, CAST(sent_at AS DATE) AS sent_date
-FROM chat WHERE event_type <> 'error' ORDER BY message_id LIMIT {_SMALLEST_SHARE}""",
+SELECT {_MESSAGE}, text FROM chat WHERE event_type <> 'error' ORDER BY message_id LIMIT {_SMALLEST_SHARE}""",
     "latency_summary": f"""{_CHAT}
 SELECT task, count(latency_us) AS n, round(avg(latency_us) / 1000, 3) AS mean_ms,
        round(stddev_samp(latency_us) / 1000, 3) AS std_ms, max(latency_us) / 1000 AS max_ms

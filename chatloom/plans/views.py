@@ -28,9 +28,24 @@ def chat_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _headers(table(spark, sf_dir, "events"))
 
 
+def headers_without_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headers that are left when ``error`` events are not; their ids have holes."""
+    events = table(spark, sf_dir, "events")
+    return _headers(events.where(F.col("event_type") != "error"))
+
+
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with their text."""
-    return _with_text(chat_headers(spark, sf_dir), table(spark, sf_dir, "documents"))
+    return with_text(chat_headers(spark, sf_dir), table(spark, sf_dir, "documents"))
+
+
+def with_text(headers: DataFrame, documents: DataFrame) -> DataFrame:
+    """``headers`` with the text of each message."""
+    # No broadcast hint: documents grow with the data, so Spark decides by their size whether to
+    # broadcast or to shuffle, and the keys are even.
+    # Their number is read from the file footers.
+    keyed = headers.withColumn("doc_id", F.try_mod("message_id", F.lit(documents.count())))
+    return keyed.join(documents.select("doc_id", "text"), "doc_id").drop("doc_id")
 
 
 def chat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +54,8 @@ def chat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = read_table_stream(
         spark, f"{sf_dir}/events.parquet", events.schema, maxBytesPerTrigger=MAX_BYTES_PER_BATCH
     )
-    with_text = _with_text(_headers(stream), table(spark, sf_dir, "documents"))
-    return with_text.withColumn("arrived_at", F.current_timestamp())
+    messages = with_text(_headers(stream), table(spark, sf_dir, "documents"))
+    return messages.withColumn("arrived_at", F.current_timestamp())
 
 
 def raw(messages: DataFrame) -> DataFrame:
@@ -49,14 +64,13 @@ def raw(messages: DataFrame) -> DataFrame:
     return messages.select(_wire_value().alias("value"), *carried)
 
 
-def raw_with_damage(messages: DataFrame, events: DataFrame) -> DataFrame:
+def raw_with_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON values of which those of ``error`` events were cut off after the second field."""
-    errors = events.where(F.col("event_type") == "error").select(
-        F.col("event_id").alias("message_id"), F.lit(True).alias("_cut")
-    )
+    headers = _headers(table(spark, sf_dir, "events"), "event_type")
+    messages = with_text(headers, table(spark, sf_dir, "documents"))
     cut = F.format_string('{"message_id":%d,"user_id":%d', "message_id", "user_id")
-    joined = messages.join(errors, "message_id", "left")
-    return joined.select(F.when(F.col("_cut"), cut).otherwise(_wire_value()).alias("value"))
+    whole = F.coalesce(F.col("event_type") != "error", F.lit(True))
+    return messages.select(F.when(whole, _wire_value()).otherwise(cut).alias("value"))
 
 
 def latency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,23 +89,16 @@ def popular_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channels.where(F.col("channel_id").isin(0, 1))
 
 
-def _headers(events: DataFrame) -> DataFrame:
+def _headers(events: DataFrame, *extra: str) -> DataFrame:
     return events.select(
         F.col("event_id").alias("message_id"),
         F.col("ts").alias("sent_at"),
         "user_id",
         F.floor(F.col("value") / 10).cast("bigint").alias("channel_id"),
+        *extra,
     )
 
 
-def _with_text(headers: DataFrame, documents: DataFrame) -> DataFrame:
-    # No broadcast hint: documents grow with the data, so Spark decides by their size whether to
-    # broadcast or to shuffle, and the keys are even.
-    # Their number is read from the file footers.
-    keyed = headers.withColumn("doc_id", F.try_mod("message_id", F.lit(documents.count())))
-    return keyed.join(documents.select("doc_id", "text"), "doc_id").drop("doc_id")
-
-
 def _wire_value() -> Column:
     sent_at = F.col("sent_at").cast("string").alias("sent_at")
     return F.to_json(F.struct("message_id", sent_at, "user_id", "channel_id", "text"))
