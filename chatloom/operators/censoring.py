@@ -5,6 +5,7 @@ on a stream. A larger lexicon is joined with the words of the messages instead.
 """
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,16 +18,13 @@ from ..functions.lexicon import (
     mask_literal,
     word_pattern,
 )
+from ..functions.skew import PIECE, copy_keys, cut_rows, hot_keys
 from ..session import materialize
 
 Lexicon = DataFrame | Iterable[str | None]
 
 LENGTH_MASK = "length"
 
-# Copies of each hit word, so that one word found in a third of all messages is spread over as many
-# join tasks.
-HOT_WORD_SALTS = 64
-
 
 def censor_messages(
     messages: DataFrame,
@@ -43,11 +41,11 @@ def censor_messages(
     if frame is None:
         pattern = word_pattern(words)
         return messages if pattern is None else _mask_column(messages, pattern, mask)
-    words, phrases = _occurring(messages, frame, max_pattern_chars)
-    if isinstance(words, list):
+    words, phrases, present = _occurring(messages, frame, max_pattern_chars)
+    if present is None:
         return censor_messages(messages, words + phrases, mask, 2 * max_pattern_chars)
     if phrases:
-        if word_pattern(phrases) and _contains_word(mask):
+        if _contains_word(mask):
             raise ValueError("with this many words and phrases the mask must have no word in it")
         messages = _mask_column(messages, word_pattern(phrases), mask)
     pieces = F.regexp_extract_all("text", F.lit(rf"{WORD_CHAR}+|[^\p{{L}}\p{{N}}_]+"), F.lit(0))
@@ -59,7 +57,7 @@ def censor_messages(
         ).otherwise(piece),
     )
     text = F.when(F.col("_hits").isNotNull(), F.array_join(masked, "")).otherwise(F.col("text"))
-    return _with_hits(messages, words).withColumn("text", text).select(*messages.columns)
+    return _with_hits(messages, present).withColumn("text", text).select(*messages.columns)
 
 
 def drop_profane_messages(
@@ -69,12 +67,12 @@ def drop_profane_messages(
     words, frame = _sized(messages, lexicon, max_pattern_chars)
     if frame is None:
         return _without_matches(messages, word_pattern(words))
-    words, phrases = _occurring(messages, frame, max_pattern_chars)
-    if isinstance(words, list):
+    words, phrases, present = _occurring(messages, frame, max_pattern_chars)
+    if present is None:
         return drop_profane_messages(messages, words + phrases, 2 * max_pattern_chars)
     messages = _without_matches(messages, word_pattern(phrases))
     hit = F.arrays_overlap("_hits", _all_words(fold(F.col("text"))))
-    kept = _with_hits(messages, words).where(~F.coalesce(hit, F.lit(False)))
+    kept = _with_hits(messages, present).where(~F.coalesce(hit, F.lit(False)))
     return kept.select(*messages.columns)
 
 
@@ -128,10 +126,20 @@ def _collect_bounded(lexicon: DataFrame, max_chars: int) -> list[str] | None:
     return [row["word"] for row in lexicon.where(F.col("word") != "").collect()]
 
 
+class _Present(NamedTuple):
+    """Words of a large lexicon that the messages use."""
+
+    words: DataFrame
+    # Any hot words of the messages, and those of them that are not in the lexicon.
+    hot: DataFrame
+    hot_elsewhere: DataFrame
+
+
 def _occurring(
     messages: DataFrame, lexicon: DataFrame, max_chars: int
-) -> tuple[list[str] | DataFrame, list[str]]:
-    """The words of a large lexicon that the messages use, as a list if few, and its phrases."""
+) -> tuple[list[str] | None, list[str], _Present | None]:
+    """What a large lexicon comes down to: a list of the used words or, if that is too long, a
+    frame of them; and its phrases."""
     if messages.isStreaming:
         raise ValueError("a lexicon of this size needs batches: censor inside a batch job")
     word = fold(F.col("word"))
@@ -145,12 +153,16 @@ def _occurring(
     phrases = _collect_bounded(folded.where("not is_plain"), max_chars)
     if phrases is None:
         raise ValueError(f"more than {max_chars} characters of phrases in the lexicon")
-    # Distinct on both sides: combined in each task first, and no key is hot.
-    used = _words(messages).select("word").distinct()
+    # One row per word on both sides, combined in each task first: no key is hot.
+    used = materialize(_words(messages).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
     plain = folded.where("is_plain").select("word")
     present = materialize(plain.join(used, "word", "left_semi"), "lexicon-used")
     words = _collect_bounded(present, max_chars)
-    return (present if words is None else words), phrases
+    if words is not None:
+        return words, phrases, None
+    hot = hot_keys(used, "word")
+    hot_elsewhere = hot.join(present, "word", "left_anti").select("word")
+    return None, phrases, _Present(present, hot, hot_elsewhere)
 
 
 def _all_words(text: str | Column) -> Column:
@@ -170,16 +182,13 @@ def _key() -> Column:
     return F.xxhash64("message_id", "text").alias("_key")
 
 
-def _with_hits(messages: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``messages`` plus ``_hits``, the words of each text that are in ``lexicon``, null if none."""
-    salted_lexicon = lexicon.select(
-        "word", F.explode(F.sequence(F.lit(0), F.lit(HOT_WORD_SALTS - 1))).alias("_salt")
-    )
-    salt = F.pmod(F.col("_key"), F.lit(HOT_WORD_SALTS)).cast("int").alias("_salt")
+def _with_hits(messages: DataFrame, present: _Present) -> DataFrame:
+    """``messages`` plus ``_hits``, the words of each text that are present, null if none."""
+    # The most frequent words are usually harmless: those are dropped before the shuffle.
+    words = _words(messages).join(F.broadcast(present.hot_elsewhere), "word", "left_anti")
+    pieces = cut_rows(words, "word", present.hot, F.col("_key"))
     hits = (
-        _words(messages)
-        .select("*", salt)
-        .join(salted_lexicon, ["word", "_salt"])
+        pieces.join(copy_keys(present.words, "word", present.hot), ["word", PIECE])
         .groupBy("_key")
         .agg(F.collect_set("word").alias("_hits"))
     )

@@ -162,8 +162,7 @@ def _job_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         quarantine=f"{folder}/quarantine",
         trigger=AVAILABLE_NOW,
     ).awaitTermination()
-    stored = spark.read.parquet(f"{folder}/messages")
-    return stored.select(*MESSAGE_COLUMNS, "sent_date")
+    return read_messages(spark, f"{folder}/messages")
 
 
 def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ def build_session(app_name: str = "chatloom", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Where the shuffled small side turns out small enough, long texts need not be sorted.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():

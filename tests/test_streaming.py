@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chatloom.operators import censor_messages, format_messages, stamp_latency
 from chatloom.plans import views
 from chatloom.plans.catalog import AVAILABLE_NOW
-from chatloom.schema import MESSAGE_COLUMNS, RAW
+from chatloom.schema import MESSAGE_COLUMNS, RAW, STORED_MESSAGES
 from chatloom.session import scratch_dir
 from chatloom.sources import read_messages, read_messages_stream, subscribe_channels
 from chatloom.sources.messages import kafka_source_options
@@ -91,8 +91,10 @@ def test_format_job_splits_good_and_bad(spark, folder):
         latency=str(folder / "latency"),
         trigger=AVAILABLE_NOW,
     ).awaitTermination()
-    stored = spark.read.parquet(str(folder / "out")).orderBy("message_id").collect()
-    assert [(row["message_id"], row["text"]) for row in stored] == [(1, "hi"), (2, "hello")]
+    stored = read_messages(spark, str(folder / "out"))
+    assert stored.schema == STORED_MESSAGES
+    rows = stored.orderBy("message_id").collect()
+    assert [(row["message_id"], row["text"]) for row in rows] == [(1, "hi"), (2, "hello")]
     bad = [row["value"] for row in spark.read.parquet(str(folder / "bad")).collect()]
     assert sorted(bad) == ['{"text":"no id"}', "{broken"]
     latency = read_latency(spark, str(folder / "latency")).collect()
