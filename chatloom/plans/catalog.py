@@ -74,7 +74,7 @@ def _drop_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_messages(views.raw(views.chat(spark, sf_dir)))
+    return _date_as_text(format_messages(views.raw(views.chat(spark, sf_dir))))
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _format_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_messages(views.raw_with_damage(spark, sf_dir))
+    return _date_as_text(format_messages(views.raw_with_damage(spark, sf_dir)))
 
 
 def _subscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +127,7 @@ def _sql(task: str, view: Callable[[SparkSession, str], DataFrame]) -> Query:
 
 def _stream_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     formatted = format_messages(views.raw(views.chat_stream(spark, sf_dir)))
-    return _through_sink(formatted, "stream-format")
+    return _date_as_text(_through_sink(formatted, "stream-format"))
 
 
 def _stream_censor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +162,7 @@ def _job_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         quarantine=f"{folder}/quarantine",
         trigger=AVAILABLE_NOW,
     ).awaitTermination()
-    return read_messages(spark, f"{folder}/messages")
+    return _date_as_text(read_messages(spark, f"{folder}/messages"))
 
 
 def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +188,11 @@ def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _date_as_text(messages: DataFrame) -> DataFrame:
+    # Spark and DuckDB hand dates to Python as different types, which would compare as unequal.
+    return messages.withColumn("sent_date", F.col("sent_date").cast("string"))
+
+
 def _through_sink(messages: DataFrame, name: str) -> DataFrame:
     """Drains a stream into the message table and reads the table."""
     spark = messages.sparkSession
@@ -267,7 +272,7 @@ SELECT {_MESSAGE}, regexp_replace(trim(text), '\b({_BAD})\b', '***', 'gi') AS te
 _DROP_SQL = rf"""{_CHAT}
 SELECT {_MESSAGE}, text FROM chat WHERE NOT regexp_matches(text, '\b({_BAD})\b', 'i')"""
 _FORMAT_SQL = f"""{_CHAT}
-SELECT {_MESSAGE}, trim(text) AS text, CAST(sent_at AS DATE) AS sent_date FROM chat"""
+SELECT {_MESSAGE}, trim(text) AS text, CAST(CAST(sent_at AS DATE) AS VARCHAR) AS sent_date FROM chat"""
 _SUBSCRIBE_SQL = f"{_CHAT} SELECT {_MESSAGE}, text FROM chat WHERE channel_id IN (0, 1)"
 
 ORACLE_SQL: dict[str, str] = {
