@@ -2,7 +2,7 @@
 
 import math
 from collections import Counter
-from datetime import date, datetime
+from datetime import datetime
 
 import duckdb
 import pytest
@@ -15,7 +15,6 @@ DUCK_TYPES = {
     "BIGINT": "bigint",
     "DOUBLE": "double",
     "VARCHAR": "string",
-    "DATE": "date",
     "TIMESTAMP": "timestamp_ntz",
 }
 
@@ -31,7 +30,7 @@ def duck(sf_dir):
 def normal(value):
     if isinstance(value, float):
         return round(value, 6) if math.isfinite(value) else str(value)
-    if isinstance(value, (datetime, date)):
+    if isinstance(value, datetime):
         return value.isoformat()
     return value
 
