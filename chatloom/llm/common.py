@@ -95,3 +95,44 @@ class SortedKeys:
             low[live] += 1
             live = live[~hit & (at + 1 < high[live])]
         return out.reshape(shape)
+
+
+def word_bytes() -> np.ndarray:
+    """For each byte, itself in lower case (A-Z only) if it belongs to a word, else 0. Words are runs of
+    digits, letters and non-ASCII bytes."""
+    out = np.arange(256, dtype=np.uint8)
+    out[65:91] += 32
+    keep = np.zeros(256, bool)
+    keep[48:58] = keep[97:123] = keep[65:91] = keep[128:] = True
+    return np.where(keep, out, 0).astype(np.uint8)
+
+
+WORD_BYTES = word_bytes()
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts in ``data``: 64-bit hashes, starts and ends in bytes, and offsets by text."""
+    clean = WORD_BYTES[data]
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = clean > 0
+    first = inside[1:-1] & ~inside[:-2]
+    edge = offsets[:-1][np.diff(offsets) > 0]
+    first[edge] = inside[1:-1][edge]
+    starts = np.flatnonzero(first)
+    # A word ends before the next gap or at the end of its text.
+    stop = inside[1:-1] & ~inside[2:]
+    stop[offsets[1:][np.diff(offsets) > 0] - 1] = inside[1:-1][offsets[1:][np.diff(offsets) > 0] - 1]
+    ends = np.flatnonzero(stop) + 1
+    # Each byte is mixed with its place in the word; a word's hash is the sum.
+    held = np.flatnonzero(clean)
+    place = held - np.repeat(starts, ends - starts)
+    mixed = mix64(clean[held].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8)))
+    return mix64(np.add.reduceat(mixed, np.cumsum(ends - starts) - (ends - starts))) if len(starts) else mixed, starts, ends, np.searchsorted(starts, offsets)
+
+
+def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` consecutive word hashes."""
+    out = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for k in range(size):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(out)])
+    return out
