@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import op1_quality, op2_suffix_dedup, op4_language, op5_simhash, op6_decontaminate, op8_sentencepiece, op9_token_counts, op10_licenses
+from chatloom.llm import op1_quality, op2_suffix_dedup, op4_language, op5_simhash, op6_decontaminate, op7_embeddings, op8_sentencepiece, op9_token_counts, op10_licenses
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality.query,
@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language.query,
     "op5_simhash_dedup": op5_simhash.query,
     "op6_decontamination": op6_decontaminate.query,
+    "op7_embedding_dedup": op7_embeddings.query,
     "op8_sentencepiece": op8_sentencepiece.query,
     "op9_token_counts": op9_token_counts.query,
     "op10_license_scan": op10_licenses.query,
