@@ -4,11 +4,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import op1_quality, op2_suffix_dedup, op4_language, op5_simhash, op6_decontaminate, op7_embeddings, op8_sentencepiece, op9_token_counts, op10_licenses
+from chatloom.llm import (
+    op1_quality,
+    op2_suffix_dedup,
+    op3_warc,
+    op4_language,
+    op5_simhash,
+    op6_decontaminate,
+    op7_embeddings,
+    op8_sentencepiece,
+    op9_token_counts,
+    op10_licenses,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality.query,
     "op2_suffix_dedup": op2_suffix_dedup.query,
+    "op3_warc": op3_warc.query,
     "op4_language_id": op4_language.query,
     "op5_simhash_dedup": op5_simhash.query,
     "op6_decontamination": op6_decontaminate.query,
@@ -18,4 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_licenses.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_decontamination": op6_decontaminate.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": op3_warc.ORACLE_SQL,
+    "op6_decontamination": op6_decontaminate.ORACLE_SQL,
+}
