@@ -1,0 +1,159 @@
+"""WARC archives, decontamination and license scans against brute force and SQL."""
+
+import hashlib
+import random
+import re
+
+import duckdb
+import pytest
+from chatloom.llm import op3_warc as op3
+from chatloom.llm import op6_decontaminate as op6
+from chatloom.llm import op10_licenses as op10
+from chatloom.llm.catalog import ORACLE_SQL, QUERIES
+from chatloom.session import scratch_dir
+
+UP = {c: c + 32 for c in range(65, 91)}
+PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words(text):
+    return re.findall(PATTERN, (text or "").translate(UP))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, sf_dir, name):
+    duck = duckdb.connect()
+    for view in ("pages", "documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {view} AS FROM '{sf_dir}/{view}.parquet'")
+    result = QUERIES[name](spark, sf_dir)
+    expected = duck.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in expected.description]
+    assert sorted(columns) == sorted(result.columns)
+    want = sorted(map(repr, expected.fetchall()))
+    assert sorted(repr(tuple(r[c] for c in columns)) for r in result.collect()) == want
+
+
+def test_magic_inside_payloads(spark):
+    magic = op3.VERSION
+    inner = magic + "WARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    rows = [(i, f"u\r\n{i}", "x" * (i % 50) + inner * (i % 4) + magic * (i % 3) + "y" * (i * 7 % 300)) for i in range(150)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = scratch_dir(spark, "warc")
+    op3.write_archives(frame.repartition(2), path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = op3.read_archives(spark, path).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(found) == 150
+    stored = {int(r.headers["x-page-id"]): r.sha256 for r in found if r.headers["warc-type"] == "response"}
+    first = {}
+    for i, _, html in rows:
+        first.setdefault(html, i)
+    want = {i: hashlib.sha256(h.encode()).hexdigest() for i, _, h in rows if len(h) < 100 or first[h] == i}
+    assert stored == want
+
+
+def test_chains_end_at_damage(spark):
+    rows = [("f", 0, 0, 10), ("f", 0, 10, 25), ("f", 0, 15, 25), ("f", 1, 25, 40), ("f", 1, 41, 60), ("g", 0, 5, 9), ("h", 0, 0, 3), ("h", 2, 3, 7), ("h", 4, 7, 9)]
+    frame = spark.createDataFrame(rows, "path string, split long, start long, next long")
+    found = sorted((r.path, r.start) for r in op3.boundaries(frame).collect())
+    assert found == [("f", 0), ("f", 10), ("f", 25), ("h", 0), ("h", 3), ("h", 7)]
+
+
+def test_odd_pages(spark, tmp_path):
+    long = "p" * 200
+    rows = [(1, None, None), (None, "u", long), (3, "u", ""), (2, "u", long), (2, "u", long), (9, "u", long), (4, "u", "é" * 60), (5, "u", "é" * 60), (6, "u", "s"), (7, "u", "s")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("size", op3.F.lit(1)).withColumn("first", op3.F.lit(1))
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    found = op3.query(spark, str(tmp_path)).collect()
+    got = sorted(((r.page_id or 0), r.payload_bytes, r.record_type, r.refers_to) for r in found)
+    assert got == [
+        (0, 200, "revisit", 2), (1, 0, "response", None), (2, 200, "response", None), (2, 200, "response", None), (3, 0, "response", None),
+        (4, 120, "response", None), (5, 120, "revisit", 4), (6, 1, "response", None), (7, 1, "response", None), (9, 200, "revisit", 2),
+    ]
+    assert {r.payload_digest for r in found if r.payload_bytes == 200} == {hashlib.sha256(long.encode()).hexdigest()}
+    empty = scratch_dir(spark, "warc")
+    op3.write_archives(frame.limit(0), empty)
+    assert op3.read_archives(spark, empty).count() == 0
+
+
+def brute_hits(doc, items, size=10):
+    w, hit, named = words(doc), set(), set()
+    for item, text in items:
+        t = words(text)
+        if not t or item is None:
+            continue
+        n = min(size, len(t))
+        cut = {tuple(t[i : i + n]) for i in range(len(t) - n + 1)}
+        for i in range(len(w) - n + 1):
+            if tuple(w[i : i + n]) in cut:
+                hit |= set(range(i, i + n))
+                named.add(str(item))
+    return len(w), len(hit), sorted(named)
+
+
+def test_decontamination_of_odd_documents(spark, odd_docs, no_docs):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(rng.choice("aa bb cc dd ee ff gg".split()) for _ in range(n))
+    items = [(1, prose(14)), (2, "Kurz Ö"), (3, None), (4, "..."), (None, "aa"), (10, prose(10)), (2, "Kurz Ö"), (30, "aa aa aa aa aa aa aa aa aa aa")]
+    docs = [(i, t) for i, t in enumerate([items[0][1].upper() + "! " + prose(30), "x kurz Ö kurz ö", "KURZ, Ö!", " ".join(words(items[5][1])) + " " + items[5][1], None, "", "aa " * 40, prose(5000)])]
+    docs += [docs[0], (None, items[5][1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("words", op6.F.lit(1)).withColumn("n_hit", op6.F.lit(1))
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("window", op6.F.lit(1))
+    found = sorted(((r.id if r.id is not None else -1), r.n_words, r.n_hit, list(r.item_list)) for r in op6.contamination(frame, bench).collect())
+    want = sorted(((i if i is not None else -1), *brute_hits(t, items)) for i, t in docs)
+    assert found == want
+    assert op6.contamination(no_docs, bench).count() == 0
+    assert {r.n_hit for r in op6.contamination(odd_docs, bench.limit(0)).collect()} == {0}
+
+
+def test_proximity(spark):
+    frame = spark.createDataFrame([(1, "rare x y word"), (2, "rare " + "x " * 50 + "word"), (3, "word a rare")], "doc_id long, text string")
+    named = op6.keyed(frame, "doc_id", "text")
+    looked = spark.createDataFrame([(7, 1, "rare", 0), (7, 2, "word", 1)], "window long, rank int, term string, place int")
+    index = op6.build_index(named, looked.select("term"))
+    assert sorted(r.id for r in op6.near_phrases(index, looked, 5).collect()) == [1, 3]
+
+
+def test_shuffled_joins_give_the_same(spark, sf_dir, monkeypatch):
+    want = sorted(map(repr, op6.query(spark, sf_dir).collect()))
+    monkeypatch.setattr(op6, "MAX_BROADCAST", 0)
+    assert sorted(map(repr, op6.query(spark, sf_dir).collect())) == want
+
+
+def test_decontamination_has_no_python(spark, sf_dir):
+    plan = op6.query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def brute_places(text):
+    w, starts, labels = words(text), [], set()
+    for label, phrase in op10.BASE_PHRASES:
+        p = phrase.split()
+        for i in range(len(w) - len(p) + 1):
+            if w[i : i + len(p)] == p:
+                starts.append(i)
+                labels.add(label)
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def test_license_places(spark, odd_docs, no_docs):
+    mit = dict(op10.TEMPLATES)["mit"].split()
+    edited = " ".join(mit[:20] + ["really"] + mit[20:30] + mit[31:])
+    texts = [
+        "Under the MIT License. under the mit license", "CC-BY-NC cc by nc cc", "apache license, Version 2.0 apache license version", "x " + " ".join(mit) + " y",
+        edited, " ".join(mit[:12]), "cc by", None, "", "under the mit\x00license", "ÜNDER the mit license", "a " * 3000 + "cc by nc " * 300,
+    ]
+    rows = [*enumerate(texts), (0, texts[0]), (None, "cc by nc")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("grams", op10.F.lit(1)).withColumn("spans", op10.F.lit(1))
+    found = op10.scan(frame).collect()
+    base = sorted(repr(((-1 if r.id is None else r.id), r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)) for r in found)
+    assert base == sorted(repr(((-1 if i is None else i), *brute_places(t))) for i, t in rows)
+    got = {r.id: (r.labels, r.score) for r in found}
+    assert got[3] == ("mit", 1.0) and got[4][0] == "mit" and 0.6 <= got[4][1] < 1
+    assert got[5] == ("", 0.0) and got[7] == ("", 0.0)
+    assert op10.scan(odd_docs).count() == odd_docs.count() and op10.scan(no_docs).count() == 0

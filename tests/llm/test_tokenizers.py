@@ -1,0 +1,82 @@
+"""Token counts and SentencePiece against the public libraries."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from chatloom.llm import op8_sentencepiece as op8
+from chatloom.llm import op9_token_counts as op9
+from tokenizers import Tokenizer
+
+FIXED = [
+    "", " ", "   ", "  a", "a▁ b", "▁", "Hello  world\n\tfoo   é日本🎉  ", "it's we're 'sx 're' !'s  's\n's", "a<|endoftext|> b <|endoftext|>",
+    "aaaaaaaaaaaaaaaaaaaaaa", "=====  ====", "x'l", "'", "'l", "\r\n \n", "\x00", None,
+]
+
+
+def random_texts(n, seed):
+    rng = random.Random(seed)
+    letters = [*"aabcdeest'' \n\téßя日🎉.,-=1230\trvlm\x85　​½Ⅷ▁", "<|endoftext|>", "'re", "<s>", "  "]
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def texts(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
+    return FIXED + random_texts(3000, 1) + [r.text for r in rows]
+
+
+def test_pieces_are_those_of_the_library(texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=op8.model_path())
+    ids, offsets = op8.pieces(op8.model_path()).encode(pa.array(texts, pa.string()))
+    want = library.encode([t or "" for t in texts])
+    for k, text in enumerate(texts):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == want[k], text
+
+
+def test_decoding_gives_the_text_back(texts):
+    pieces = op8.pieces(op8.model_path())
+    back = pieces.decode(*pieces.encode(pa.array(texts, pa.string()))).to_pylist()
+    assert back == [(t or "").replace("▁", " ") for t in texts]
+
+
+def test_decoding_of_broken_bytes(spark):
+    pieces = op8.pieces(op8.model_path())
+    lone = np.array([pieces.byte_ids[0xE9]])
+    assert pieces.decode(lone, np.array([0, 1])).to_pylist() == ["�"]
+
+
+def test_counts_are_those_of_the_library(texts):
+    library = Tokenizer.from_file(public_tokenizers.path(op9.VOCABULARY))
+    n_bytes, n_tokens = op9.machine(public_tokenizers.path(op9.VOCABULARY)).counts(pa.array(texts, pa.string()))
+    want = [len(e.ids) for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert n_tokens.tolist() == want
+    assert n_bytes.tolist() == [len((t or "").encode()) for t in texts]
+
+
+def test_scan_equals_stepping():
+    rng = np.random.default_rng(1)
+    to, _ = op9.splitting_machine()
+    for n in (0, 1, 255, 256, 257, 3000):
+        symbols = rng.integers(0, 18, n).astype(np.uint8)
+        state, want = op9.START, []
+        for s in symbols:
+            want.append(state)
+            state = to[s, state]
+        assert op9.scan(symbols, to).tolist() == want
+
+
+def test_odd_documents(odd_docs, no_docs):
+    rows = op8.decode(op8.encode(odd_docs.drop("token_ids"))).collect()
+    assert len(rows) == odd_docs.count()
+    assert all(r.decoded == r.text for r in rows)
+    assert {r.doc_id: r.token_ids for r in rows}[0] is None and {r.doc_id: r.token_ids for r in rows}[1] == []
+    checked = op8.tokenize(None, odd_docs, "").collect()
+    assert all(r.round_trip for r in checked) and {r.n_tokens for r in checked if not r.text} == {0}
+    counted = op9.count_tokens(odd_docs).collect()
+    assert sorted((r.doc_id or -1, r.n_bytes) for r in counted) == sorted((r.doc_id or -1, len((r.text or "").encode())) for r in odd_docs.collect())
+    for frame in (op8.tokenize(None, no_docs, ""), op9.count_tokens(no_docs), op8.decode(op8.encode(no_docs))):
+        assert frame.count() == 0
