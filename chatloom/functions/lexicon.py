@@ -49,6 +49,11 @@ def word_pattern(words: Iterable[str | None]) -> str | None:
     return rf"(?iu)(?<!{WORD_CHAR})(?:{_branches(root)})(?!{WORD_CHAR})"
 
 
+def gap_pattern(pattern: str) -> str:
+    """A pattern whose first group is what stands before each match of ``pattern``, and after the last."""
+    return rf"(?s)(.*?)(?:{pattern}|\z)"
+
+
 def mask_literal(mask: str) -> str:
     """``mask`` with the characters that are special in a replacement string escaped."""
     return mask.replace("\\", "\\\\").replace("$", "\\$")

@@ -25,7 +25,6 @@ from ..streaming.jobs import censor_job, format_job
 from ..streaming.sinks import (
     read_latency,
     stored_schema,
-    write_latency_stream,
     write_messages_stream,
 )
 from . import views
@@ -100,10 +99,18 @@ def _prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_prefix(views.chat(spark, sf_dir), n)
 
 
+def _prefix_of_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that start at 1000 and stand twice each."""
+    headers = views.chat_headers(spark, sf_dir).select("message_id", "user_id")
+    n = views.table(spark, sf_dir, "events").count() * SMALLEST_RUN // LARGEST_RUN
+    moved = headers.withColumn("message_id", F.col("message_id") + 1000)
+    return dataset_prefix(moved.union(moved), 2 * n)
+
+
 def _prefix_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = views.table(spark, sf_dir, "events").count() * SMALLEST_RUN // LARGEST_RUN
     # The search for the n-th id reads the headers several times, so the text is added afterwards.
-    prefix = dataset_prefix(views.headers_without_errors(spark, sf_dir), n, contiguous=False)
+    prefix = dataset_prefix(views.headers_without_errors(spark, sf_dir), n)
     return views.with_text(prefix, views.table(spark, sf_dir, "documents"))
 
 
@@ -144,13 +151,15 @@ def _stream_subscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked messages, each stored with the latency that it was stamped with."""
     folder = scratch_dir(spark, "stream-latency")
     messages = views.chat_stream(spark, sf_dir)
-    censored = censor_messages(messages, views.LEXICON)
-    write_latency_stream(
-        stamp_latency(censored, "censor"), f"{folder}/out", f"{folder}/checkpoint", AVAILABLE_NOW
+    stamped = stamp_latency(censor_messages(messages, views.LEXICON), "censor")
+    write_messages_stream(
+        stamped, f"{folder}/out", f"{folder}/checkpoint", AVAILABLE_NOW
     ).awaitTermination()
-    return read_latency(spark, f"{folder}/out")
+    stored = read_messages(spark, f"{folder}/out", stored_schema(stamped))
+    return stored.select("message_id", "text", "task", (F.col("latency_ms") >= 0).alias("measured"))
 
 
 def _job_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +182,7 @@ def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.LEXICON,
         f"{folder}/messages",
         f"{folder}/checkpoint",
+        f"{folder}/quarantine",
         latency=f"{folder}/latency",
         trigger=AVAILABLE_NOW,
     ).awaitTermination()
@@ -188,6 +198,19 @@ def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _job_subscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "job-subscribe")
+    format_job(
+        views.raw(views.chat_stream(spark, sf_dir)),
+        f"{folder}/messages",
+        f"{folder}/checkpoint",
+        f"{folder}/quarantine",
+        channels=lambda: views.popular_channels(spark, sf_dir),
+        trigger=AVAILABLE_NOW,
+    ).awaitTermination()
+    return read_messages(spark, f"{folder}/messages").select(*MESSAGE_COLUMNS)
+
+
 def _date_as_text(messages: DataFrame) -> DataFrame:
     # Spark and DuckDB hand dates to Python as different types, which would compare as unequal.
     return messages.withColumn("sent_date", F.col("sent_date").cast("string"))
@@ -219,6 +242,7 @@ QUERIES: dict[str, Query] = {
     "subscribe_many_channels": _subscribe_many,
     "dataset_prefix": _prefix,
     "dataset_prefix_with_holes": _prefix_with_holes,
+    "dataset_prefix_of_repeats": _prefix_of_repeats,
     "latency_summary": _latency_summary,
     "load_rate": _load_rate,
     "compare_runs": _compare_runs,
@@ -226,6 +250,9 @@ QUERIES: dict[str, Query] = {
     "sql_top_channels": _sql("top_channels", views.chat_headers),
     "sql_top_users": _sql("top_users", views.chat_headers),
     "sql_censor_messages": _sql("censor_messages", views.chat),
+    "sql_censor_messages_length": lambda spark, sf_dir: run_sql_task(
+        "censor_messages", views.chat(spark, sf_dir), views.LEXICON, mask="length"
+    ),
     "sql_drop_profane_messages": _sql("drop_profane_messages", views.chat),
     "stream_format": _stream_format,
     "stream_censor": _stream_censor,
@@ -233,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "stream_latency": _stream_latency,
     "job_format": _job_format,
     "job_latency": _job_latency,
+    "job_subscribe": _job_subscribe,
 }
 
 _CHAT = """
@@ -295,6 +323,9 @@ FROM chat WHERE event_type = 'error'""",
 SELECT {_MESSAGE}, text FROM chat ORDER BY message_id LIMIT {_SMALLEST_SHARE}""",
     "dataset_prefix_with_holes": f"""{_CHAT}
 SELECT {_MESSAGE}, text FROM chat WHERE event_type <> 'error' ORDER BY message_id LIMIT {_SMALLEST_SHARE}""",
+    "dataset_prefix_of_repeats": f"""{_CHAT}
+SELECT message_id + 1000 AS message_id, user_id
+FROM (SELECT * FROM chat ORDER BY message_id LIMIT {_SMALLEST_SHARE}), range(2)""",
     "latency_summary": f"""{_CHAT}
 SELECT task, count(latency_us) AS n, round(avg(latency_us) / 1000, 3) AS mean_ms,
        round(stddev_samp(latency_us) / 1000, 3) AS std_ms, max(latency_us) / 1000 AS max_ms
@@ -315,13 +346,18 @@ FROM means""",
     "sql_top_channels": _TOP_CHANNELS_SQL,
     "sql_top_users": _TOP_USERS_SQL,
     "sql_censor_messages": _CENSOR_SQL,
+    "sql_censor_messages_length": f"{_CHAT} SELECT {_MESSAGE}, {_masked_by_length()} AS text FROM chat",
     "sql_drop_profane_messages": _DROP_SQL,
     "stream_format": _FORMAT_SQL,
     "stream_censor": _CENSOR_TRIMMED_SQL,
     "stream_subscribe": f"""{_CHAT}
 SELECT {_MESSAGE}, trim(text) AS text FROM chat WHERE channel_id IN (0, 1)""",
-    # stream_latency reads a clock, so only its number of rows can be checked.
+    "stream_latency": rf"""{_CHAT}
+SELECT message_id, regexp_replace(text, '\b({_BAD})\b', '***', 'gi') AS text, 'censor' AS task,
+       true AS measured FROM chat""",
     "job_format": _FORMAT_SQL,
+    "job_subscribe": f"""{_CHAT}
+SELECT {_MESSAGE}, trim(text) AS text FROM chat WHERE channel_id IN (0, 1)""",
     "job_latency": f"""{_CHAT}
 SELECT 'censor' AS task, count(*) AS n_messages, count(*) AS n_measured FROM chat""",
 }

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from ..functions.lexicon import MAX_PATTERN_CHARS, mask_literal, word_pattern
+from ..functions.lexicon import MAX_PATTERN_CHARS, gap_pattern, mask_literal, word_pattern
+from ..operators.censoring import LENGTH_MASK
 
 COUNT_MESSAGES = "SELECT count(*) AS n FROM {chat}"
 
@@ -16,6 +17,16 @@ SELECT message_id, sent_at, user_id, channel_id, regexp_replace(text, :pattern,
 FROM {chat}
 """
 
+CENSOR_MESSAGES_BY_LENGTH = """
+SELECT message_id, sent_at, user_id, channel_id,
+       CASE WHEN regexp_like(text, :pattern) THEN array_join(zip_with(
+           slice(regexp_extract_all(text, :gaps, 1), 1, size(regexp_extract_all(text, :pattern, 0)) + 1),
+           concat(transform(regexp_extract_all(text, :pattern, 0), hit -> repeat('*', char_length(hit))), array('')),
+           (piece, star) -> concat(piece, star)), '')
+       ELSE text END AS text
+FROM {chat}
+"""
+
 DROP_PROFANE_MESSAGES = """
 SELECT message_id, sent_at, user_id, channel_id, text
 FROM {chat}
@@ -52,6 +63,8 @@ def run_sql_task(
 ) -> DataFrame:
     """Runs one of ``TASKS`` on ``chat``; the lexicon must be small enough for a pattern."""
     text = TASKS[task]
+    if task == "censor_messages" and mask == LENGTH_MASK:
+        text = CENSOR_MESSAGES_BY_LENGTH
     args = {"k": k} if ":k" in text else {}
     if ":pattern" in text:
         words = [word for word in lexicon if word]
@@ -59,6 +72,8 @@ def run_sql_task(
             raise ValueError("lexicon too large for SQL; use the DataFrame operators")
         # A pattern that never matches stands for an empty lexicon.
         args["pattern"] = word_pattern(words) or "(?!)"
+    if ":gaps" in text:
+        args["gaps"] = gap_pattern(args["pattern"])
     if ":mask" in text:
         args["mask"] = mask_literal(mask)
     return chat.sparkSession.sql(text, args=args, chat=chat)

@@ -49,13 +49,13 @@ def with_text(headers: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def chat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages as :func:`chat`, as a stream. ``arrived_at`` is the start of the batch."""
+    """The same messages as :func:`chat`, as a stream. ``arrived_at`` is the time its file was written."""
     events = table(spark, sf_dir, "events")
     stream = read_table_stream(
         spark, f"{sf_dir}/events.parquet", events.schema, maxBytesPerTrigger=MAX_BYTES_PER_BATCH
     )
-    messages = with_text(_headers(stream), table(spark, sf_dir, "documents"))
-    return messages.withColumn("arrived_at", F.current_timestamp())
+    arrived = stream.select("*", F.col("_metadata.file_modification_time").alias("arrived_at"))
+    return with_text(_headers(arrived, "arrived_at"), table(spark, sf_dir, "documents"))
 
 
 def raw(messages: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 from .jobs import censor_job, format_job, run_job
+from .progress import batch_durations, log_batches
 from .sinks import read_latency, write_latency_stream, write_messages_stream
 
 __all__ = [
+    "batch_durations",
     "censor_job",
     "format_job",
+    "log_batches",
     "read_latency",
     "run_job",
     "write_latency_stream",

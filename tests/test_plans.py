@@ -31,6 +31,11 @@ def test_top_list_has_one_shuffle_and_no_global_sort(spark, sf_dir):
     assert text.count("Exchange") == 1
 
 
+def test_length_mask_compiles_its_pattern_once(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert "split(" not in plan(censor_messages(documents, views.LEXICON, "length"))
+
+
 @pytest.mark.parametrize("mask", ["***", "length"])
 def test_masking_does_not_shuffle(spark, sf_dir, mask):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")

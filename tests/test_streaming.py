@@ -10,15 +10,16 @@ from chatloom.plans.catalog import AVAILABLE_NOW
 from chatloom.schema import MESSAGE_COLUMNS, RAW, STORED_MESSAGES
 from chatloom.session import scratch_dir
 from chatloom.sources import read_messages, read_messages_stream, subscribe_channels
-from chatloom.sources.messages import kafka_source_options
+from chatloom.sources.messages import MAX_BATCH_OFFSETS, kafka_source_options
 from chatloom.streaming import (
     censor_job,
     format_job,
+    log_batches,
     read_latency,
     write_latency_stream,
     write_messages_stream,
 )
-from chatloom.streaming.jobs import batch_durations
+from chatloom.streaming.progress import batch_durations
 from chatloom.streaming.sinks import kafka_sink_options, parse_latency
 
 
@@ -112,6 +113,7 @@ def test_repeated_batch_replaces_its_output(spark, folder):
             ["idiot"],
             str(folder / "out"),
             str(folder / checkpoint),
+            str(folder / "bad"),
             latency=str(folder / "latency"),
             trigger=AVAILABLE_NOW,
         ).awaitTermination()
@@ -135,12 +137,49 @@ def test_job_takes_a_lexicon_too_large_for_a_pattern(spark, folder, monkeypatch)
         lambda *args: censor_messages(*args, max_pattern_chars=0),
     )
     censor_job(
-        raw, lexicon, str(folder / "out"), str(folder / "checkpoint"), trigger=AVAILABLE_NOW
+        raw,
+        lexicon,
+        str(folder / "out"),
+        str(folder / "checkpoint"),
+        str(folder / "bad"),
+        trigger=AVAILABLE_NOW,
     ).awaitTermination()
     stored = spark.read.parquet(str(folder / "out")).orderBy("message_id").collect()
     assert [row["text"] for row in stored] == ["*** and ***", "fine"]
 
 
+def test_channels_may_change_between_batches(spark, folder):
+    wanted = [1]
+
+    def run():
+        format_job(
+            read_messages_stream(spark, str(folder / "in")),
+            str(folder / "out"),
+            str(folder / "checkpoint"),
+            str(folder / "bad"),
+            channels=lambda: spark.createDataFrame([(c,) for c in wanted], "channel_id bigint"),
+            trigger=AVAILABLE_NOW,
+        ).awaitTermination()
+        return sorted(r["message_id"] for r in read_messages(spark, str(folder / "out")).collect())
+
+    put(folder, "a.json", [line(i) for i in range(4)])
+    assert run() == [1, 3]
+    wanted.append(0)
+    put(folder, "b.json", [line(i) for i in range(4, 8)])
+    assert run() == [1, 3, 4, 5, 6, 7]
+
+
+def test_every_batch_is_remembered(spark, folder):
+    for n in range(105):
+        put(folder, f"{n}.json", [line(n)])
+    source = read_messages_stream(spark, str(folder / "in"), maxFilesPerTrigger="1")
+    query = source.writeStream.format("noop").option("checkpointLocation", str(folder / "c"))
+    log_batches(spark)
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert batch_durations(spark, query).count() == 105
+
+
 def test_subscription_filters_a_stream(spark, folder):
     put(folder, "a.json", [line(i) for i in range(6)])
     channels = spark.createDataFrame([(1,)], "channel_id bigint")
@@ -198,6 +237,7 @@ def test_kafka_source_options():
         "minPartitions": "9",
         "startingOffsets": "earliest",
         "failOnDataLoss": "true",
+        "maxOffsetsPerTrigger": MAX_BATCH_OFFSETS,
     }
     with pytest.raises(ValueError, match="bootstrap"):
         kafka_source_options("chat")
