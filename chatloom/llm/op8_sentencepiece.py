@@ -29,7 +29,9 @@ from chatloom.llm.lattice import Lattice, merge_word
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO = 600_000
+#: Words that a worker remembers, and bytes of text that it encodes at once: they bound its memory.
+MEMO = 250_000
+ENCODE_BYTES = 4 << 20
 
 
 class Pieces:
@@ -227,7 +229,7 @@ def encode(docs: DataFrame, text_col: str = "text", to: str = "token_ids", model
 
     def work(batches):
         vocabulary = pieces(model)
-        for part in text_chunks(batches, text_col):
+        for part in text_chunks(batches, text_col, ENCODE_BYTES):
             column = part.column(text_col)
             ids, offsets = vocabulary.encode(column)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
@@ -260,22 +262,42 @@ def decode(docs: DataFrame, ids_col: str = "token_ids", to: str = "decoded", mod
     return docs.mapInArrow(work, schema)
 
 
+def encode_and_check(docs: DataFrame, text_col: str = "text", to: str = "token_ids", flag: str = "round_trip", model: str | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``docs`` with the ids, and whether they decode to the text (with
+    spaces for U+2581; true for null)."""
+    schema, model = _schema(_flagged(docs, flag), to, T.ArrayType(T.IntegerType())), model or model_path()
+    names = schema.names
+
+    def work(batches):
+        vocabulary = pieces(model)
+        for part in text_chunks(batches, text_col, ENCODE_BYTES):
+            column = part.column(text_col)
+            ids, offsets = vocabulary.encode(column)
+            texts = pc.replace_substring(pc.fill_null(column, ""), SPACE, " ")
+            same = pc.equal(vocabulary.decode(ids, offsets), texts)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            if column.null_count:
+                lists = pc.if_else(column.is_valid(), lists, pa.nulls(len(lists), lists.type))
+            part = _with_column(part, to, lists, [n for n in names if n != flag])
+            yield _with_column(part, flag, same, names)
+
+    return docs.mapInArrow(work, schema)
+
+
+def _flagged(docs: DataFrame, flag: str) -> DataFrame:
+    return docs.drop(flag).withColumn(flag, F.lit(True))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_tokens", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its ids, their number, and whether decoding gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs))
-    same = F.coalesce(F.col("decoded") == F.translate("text", SPACE, " "), F.col("text").isNull())
-    return back.select(
-        "doc_id",
-        F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
-        "token_ids",
-        same.alias("round_trip"),
-    )
+    return _counted(encode_and_check(docs)).select("doc_id", "n_tokens", "token_ids", "round_trip")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: ``docs`` with their ids, the number of ids, and whether decoding gives the text."""
-    back = decode(encode(docs, to="token_ids"), to="_decoded")
-    same = F.coalesce(F.col("_decoded") == F.translate("text", SPACE, " "), F.col("text").isNull())
-    n_tokens = F.coalesce(F.size("token_ids"), F.lit(0)).cast("long")
-    return back.withColumn("n_tokens", n_tokens).withColumn("round_trip", same).drop("_decoded")
+    return _counted(encode_and_check(docs))
