@@ -11,8 +11,9 @@ different segments of an anchor. They are dealt out by anchor, and in each block
 Burrows-Wheeler transform are built; from the interval of the empty string, intervals are extended backwards
 breadth-first, each level setting the common prefix lengths of its value, up to ``min_bytes``. Neighbours whose
 common prefix is still open then share ``min_bytes`` bytes, and in such a group all windows but the first are
-repeats. Anchors with very many different segments are not one block: there each window is summed
-up by its hash instead, which Spark combines before the shuffle.
+repeats. The segments of an
+anchor with very many of them are not one block: they are cut into shorter ones, each with the bytes that all its windows
+share as a new anchor, and go through the same steps; at last each window is its own anchor. So no block grows with the corpus.
 
 Documents are keyed by a hash of id and text. Their packed texts are dealt out by that key once, in
 a checkpoint that keeps the partitioning, so the three reads of texts need no further shuffle.
@@ -37,8 +38,12 @@ MIN_BYTES = 100
 GRAM = 32
 #: Different segments that an anchor may have in one block.
 MEET = 512
+#: Windows of a segment of an anchor with more than that, once it is cut finer.
+WIDTH = 16
 #: Bytes of a block.
 BLOCK = 1 << 20
+#: Bytes of text whose anchors are found at once.
+CHUNK = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = mix64(np.arange(256, dtype=np.uint64) + np.uint64(77))
 
@@ -95,21 +100,24 @@ def content_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> n
 
 
 def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of the suffixes in the order of their first ``depth`` symbols or more; ties by place."""
-    n = len(text)
-    rank, width = text.astype(np.int64), 1
+    """Starts of the suffixes in the order of their first ``depth`` symbols or more. Symbols have 15 bits."""
+    n, width = len(text), 4
+    key = np.zeros(n, np.int64)
+    for k in range(width):
+        key <<= 15
+        key[: max(0, n - k)] |= text[k:]
+    rank = np.empty(n, np.int64)
     while True:
-        after = np.zeros(n, np.int64)
-        after[:-width] = rank[width:] + 1 if width < n else 0
-        key = rank * (int(rank.max()) + 2) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.ones(n, np.int64)
         fresh[0] = 0
         fresh[1:] = key[order[1:]] != key[order[:-1]]
         rank[order] = np.cumsum(fresh)
-        width *= 2
         if width >= depth or rank[order[-1]] == n - 1 or width >= n:
             return order
+        key = rank * (n + 1)
+        key[:-width] += rank[width:] + 1
+        width *= 2
 
 
 def open_prefixes(text: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
@@ -182,7 +190,7 @@ def _anchors(keyed: DataFrame, min_bytes: int) -> DataFrame:
     """``key, anchor``, as often as it occurs."""
 
     def work(batches):
-        for part in text_chunks(batches, "text"):
+        for part in text_chunks(batches, "text", CHUNK):
             data, offsets = flat_bytes(part.column("text"))
             row, _, _, value = segments(data, offsets, min_bytes)
             ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=part.num_rows))))
@@ -224,26 +232,21 @@ def _segments(stored: DataFrame, min_bytes: int) -> DataFrame:
 
     def work(batches):
         for part in _small(batches):
-            texts, wanted = _unpacked(part), part.column("anchors").to_pylist()
-            for k, text in enumerate(texts):
-                if not wanted[k]:
-                    continue
-                data = np.frombuffer(text, np.uint8)
-                _, at, n, value = segments(data, np.array([0, len(data)]), min_bytes)
-                kept = np.isin(value, np.array(wanted[k], np.int64))
-                at, n, value = at[kept], n[kept], value[kept]
-                columns = [
-                    pa.array([part.column("id")[k].as_py()] * len(at), part.schema.field("id").type),
-                    pa.array(np.full(len(at), part.column("key")[k].as_py(), np.int64)),
-                    pa.array(at.astype(np.int64)),
-                    pa.array(n.astype(np.int32)),
-                    pa.array(value),
-                    pa.array(content_hashes(data, at, n + min_bytes - 1)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "at", "n", "anchor", "content"])
+            texts = _unpacked(part)
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+            row, at, n, value = segments(data, offsets, min_bytes)
+            # Each document lists all its repeated anchors, so one list serves them together.
+            wanted = np.unique(part.column("anchors").flatten().to_numpy(zero_copy_only=False))
+            kept = np.isin(value, wanted)
+            row, at, n, value = row[kept], at[kept], n[kept], value[kept]
+            own = pa.array(row)
+            content = content_hashes(data, offsets[row] + at, n + min_bytes - 1)
+            columns = [part.column("id").take(own), part.column("key").take(own), pa.array(at), pa.array(n.astype(np.int32)), pa.array(value), pa.array(content)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "at", "n", "anchor", "content"])
 
     rows = stored.where("anchors is not null").select("id", "key", "packed", "anchors")
-    return rows.dropDuplicates(["key"]).mapInArrow(work, f"id {kind}, key long, at long, n int, anchor long, content long")
+    return rows.mapInArrow(work, f"id {kind}, key long, at long, n int, anchor long, content long")
 
 
 def _with_bytes(stored: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
@@ -265,7 +268,7 @@ def _with_bytes(stored: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFra
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "at", "anchor", "hot", "bytes"])
 
-    rows = stored.join(spots, "key").select("id", "key", "packed", "spots").dropDuplicates(["key"])
+    rows = stored.join(spots, "key").select("id", "key", "packed", "spots")
     return rows.mapInArrow(work, f"id {kind}, key long, at long, anchor long, hot boolean, bytes binary")
 
 
@@ -298,7 +301,14 @@ def _repeats_in_blocks(rows: DataFrame, min_bytes: int) -> DataFrame:
     def work(batches):
         for block in _blocks(batches):
             keys = [("id", "ascending"), ("key", "ascending"), ("at", "ascending")]
-            block = block.take(pc.sort_indices(block, sort_keys=keys, null_placement="at_start"))
+            block = block.take(pc.sort_indices(block, sort_keys=keys, null_placement="at_start")).combine_chunks()
+            # A segment of a repeated row is there twice: once is enough.
+            same = np.zeros(len(block), bool)
+            same[1:] = True
+            for name in ("key", "at"):
+                values = block.column(name).to_numpy()
+                same[1:] &= values[1:] == values[:-1]
+            block = block.filter(pa.array(~same))
             texts = block.column("bytes").to_pylist()
             repeat = repeated_windows(texts, min_bytes)
             sizes = np.array([max(len(t) - min_bytes + 1, 0) for t in texts])
@@ -319,45 +329,73 @@ def _repeats_in_blocks(rows: DataFrame, min_bytes: int) -> DataFrame:
     return dealt.mapInArrow(work, f"id {kind}, key long, at long, n long")
 
 
-def _repeats_of_hot(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """The same for anchors with very many segments: windows are summed up by hash."""
+def _recut(rows: DataFrame, width: int, min_bytes: int) -> DataFrame:
+    """The segments of anchors with very many of them, cut finer: at most ``width`` windows each, by the place of the
+    anchor in the window. Their new anchor is the hash of the bytes that all windows of a cut share, so equal windows stay
+    together and others part. With a width of 1 the shared bytes are the window itself."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
-            for part in text_chunks([batch], "bytes", BLOCK):
+            for part in text_chunks([batch], "bytes", BLOCK // 2):
                 data, offsets = flat_bytes(part.column("bytes"))
                 n = np.diff(offsets) - min_bytes + 1
-                starts = ragged(offsets[:-1], n)
-                own = np.repeat(np.arange(len(n)), n)
-                code = content_hashes(data, starts, np.full(len(starts), min_bytes))
-                at = part.column("at").to_numpy()[own] + starts - offsets[own]
+                grams = rolling(data, GRAM).view(np.int64)
+                own = np.repeat(np.arange(len(n)), np.diff(offsets))[: len(grams)]
+                found = np.flatnonzero(grams == part.column("root").to_numpy()[own])
+                # The first place of the anchor is that of all windows of the segment.
+                place = found[np.searchsorted(found, offsets[:-1])] - offsets[:-1]
+                high, low = place // width, (place - n + 1) // width
+                own = np.repeat(np.arange(len(n)), high - low + 1)
+                cut = ragged(low, high - low + 1)
+                first = np.maximum(place[own] - cut * width - width + 1, 0)
+                last = np.minimum(place[own] - cut * width, n[own] - 1)
+                shared = place[own] - cut * width
+                base = offsets[:-1][own]
+                anchor = content_hashes(data, base + shared, np.full(len(own), min_bytes - width + 1))
+                size = last - first + min_bytes
+                content = content_hashes(data, base + first, size)
                 take = pa.array(own)
-                columns = [part.column("id").take(take), part.column("key").take(take), pa.array(at), part.column("anchor").take(take), pa.array(code)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "at", "anchor", "code"])
+                raw = data.tobytes()
+                pieces = [raw[a:b] for a, b in zip((base + first).tolist(), (base + first + size).tolist())]
+                at = part.column("at").to_numpy()[own] + first
+                columns = [part.column("id").take(take), part.column("key").take(take), pa.array(at), pa.array((last - first + 1).astype(np.int32))]
+                columns += [pa.array(anchor ^ cut), pa.array(content), pa.array(pieces, pa.binary()), part.column("root").take(take)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "at", "n", "anchor", "content", "bytes", "root"])
 
-    windows = rows.select("id", "key", "at", "anchor", "bytes").mapInArrow(work, f"id {kind}, key long, at long, anchor long, code long")
-    windows = materialize(windows, "windows")
-    first = windows.groupBy("anchor", "code").agg(F.min(F.struct("id", "key", "at")).alias("first"), F.count("*").alias("times"))
-    first = materialize(first.where("times > 1").drop("times"), "first")
-    joined = windows.join(first, ["anchor", "code"]).where(F.struct("id", "key", "at") != F.col("first"))
-    return joined.select("id", "key", "at", F.lit(1).cast("long").alias("n"))
+    given = rows.select("id", "key", "at", "root", "bytes")
+    return given.mapInArrow(work, f"id {kind}, key long, at long, n int, anchor long, content long, bytes binary, root long")
 
 
 def repeats(stored: DataFrame, min_bytes: int = MIN_BYTES, meet: int = MEET) -> DataFrame:
     """Runs of repeated windows of all documents: ``id, key, at, n``."""
-    found = materialize(_segments(stored, min_bytes), "segments")
-    same = found.groupBy("anchor", "content").agg(F.min(F.struct("id", "key", "at", "n")).alias("first"), F.count("*").alias("times"))
-    same = materialize(same, "contents")
-    several = same.where("times > 1").select("anchor", "content", "first")
-    copies = found.join(several, ["anchor", "content"]).where(F.struct("id", "key", "at", "n") != F.col("first"))
-    copies = copies.select("id", "key", "at", F.col("n").cast("long").alias("n"))
-    kinds = same.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    kinds = materialize(kinds, "kinds")
-    mixed = same.join(kinds, "anchor").select("first.*", "anchor", (F.col("kinds") > meet).alias("hot"))
-    mixed = materialize(_with_bytes(stored, mixed, min_bytes), "mixed")
-    in_blocks = _repeats_in_blocks(mixed.where(~F.col("hot")), min_bytes)
-    return copies.union(in_blocks).union(_repeats_of_hot(mixed.where("hot"), min_bytes))
+    found, out = materialize(_segments(stored, min_bytes), "segments"), None
+    me = F.struct("id", "key", "at", "n")
+    for width in (WIDTH, 1, None):
+        same = found.groupBy("anchor", "content").agg(F.min(me).alias("first"), F.count("*").alias("times"))
+        same = materialize(same, "contents")
+        several = same.where("times > 1").select("anchor", "content", "first")
+        copies = found.join(several, ["anchor", "content"]).where(me != F.col("first"))
+        copies = copies.select("id", "key", "at", F.col("n").cast("long").alias("n"))
+        out = copies if out is None else out.union(copies)
+        kinds = same.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        mixed = same.join(materialize(kinds, "kinds"), "anchor")
+        mixed = mixed.select("first", "anchor", "content", (F.col("kinds") > meet).alias("hot"))
+        if "bytes" in found.columns:
+            mixed = found.join(mixed, ["anchor", "content"]).where(me == F.col("first"))
+            mixed = mixed.select("id", "key", "at", "anchor", "hot", "bytes", "root")
+        else:
+            mixed = _with_bytes(stored, mixed.select("first.*", "anchor", "hot"), min_bytes)
+            mixed = mixed.withColumn("root", F.col("anchor"))
+        mixed = materialize(mixed, "mixed")
+        out = out.union(_repeats_in_blocks(mixed.where(~F.col("hot")), min_bytes))
+        hot = mixed.where("hot")
+        if hot.isEmpty():
+            return out
+        if width is None:
+            raise RuntimeError("windows of one hash differ")
+        found = materialize(_recut(hot, width, min_bytes), "recut")
+    return out
 
 
 def _cut(text: bytes, spans: list, min_bytes: int) -> tuple[bytes, int, int]:
@@ -374,7 +412,8 @@ def _cut(text: bytes, spans: list, min_bytes: int) -> tuple[bytes, int, int]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES, meet: int = MEET) -> DataFrame:
-    """Per row: ``id, key, n_bytes, n_removed, n_spans, kept`` (the bytes that stay)."""
+    """Per row: ``id, key, n_bytes, n_removed, n_spans, kept`` (the bytes that stay), and ``new_text`` (those of whole
+    characters, null where nothing is removed)."""
     if min_bytes < 2 * GRAM:
         raise ValueError(f"strings of at least {2 * GRAM} bytes are asked for")
     keyed = _keyed(docs, id_col, text_col)
@@ -399,11 +438,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for t, r in zip(_unpacked(part), rows)
             ]
             columns = list(zip(*out))
-            types = [part.schema.field("id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "key", "n_bytes", "kept", "n_removed", "n_spans"])
+            columns.append([k.decode("utf-8", "ignore") if gone else None for k, gone in zip(columns[3], columns[4])])
+            types = [part.schema.field("id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
+            names = ["id", "key", "n_bytes", "kept", "n_removed", "n_spans", "new_text"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     joined = stored.join(spans, "key", "left").select("id", "key", "packed", "spans")
-    return joined.mapInArrow(work, f"id {kind}, key long, n_bytes long, kept binary, n_removed long, n_spans long")
+    return joined.mapInArrow(work, f"id {kind}, key long, n_bytes long, kept binary, n_removed long, n_spans long, new_text string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,7 +457,7 @@ def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pipeline stage: ``docs`` with the repeated bytes taken out of their texts. A character that
     loses some of its bytes goes whole. Documents stay, texts may become empty."""
     found = remove_repeats(docs)
-    found = found.select(F.col("key").alias("_key"), F.decode("kept", F.lit("UTF-8")).alias("_kept"), "n_removed")
+    found = found.select(F.col("key").alias("_key"), F.col("new_text").alias("_kept"), "n_removed")
     changed = materialize(found.where("n_removed > 0").dropDuplicates(["_key"]), "changed")
     keyed = docs.withColumn("_own", F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))))
     joined = keyed.join(changed, F.col("_own") == F.col("_key"), "left")

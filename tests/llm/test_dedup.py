@@ -52,7 +52,7 @@ def planted(rng):
     return [*texts, texts[0], "", "é" * 160, "zé" * 120 + "é" * 60]
 
 
-@pytest.mark.parametrize("meet", [512, 2])
+@pytest.mark.parametrize("meet", [512, 3, 1])
 def test_repeats_over_documents(spark, meet):
     texts = planted(random.Random(1))
     rows = [(i, t) for i, t in enumerate(texts)]

@@ -25,9 +25,9 @@ def test_stages_take_effect(spark, sf_dir):
     groups = {r.component for r in op5_simhash.near_duplicates(before).collect()}
     assert sorted(r.doc_id for r in after.collect()) == sorted(groups)
     before, after = kept["repeats"]
-    want = {r.id: bytes(r.kept).decode("utf-8", "replace") for r in op2_suffix_dedup.remove_repeats(before).collect()}
+    want = {r.id: bytes(r.kept).decode("utf-8", "ignore") for r in op2_suffix_dedup.remove_repeats(before).collect()}
     assert {r.doc_id: r.text for r in after.collect()}.keys() == want.keys()
-    assert all(r.text == want[r.doc_id] or "�" in want[r.doc_id] for r in after.collect())
+    assert all(r.text == want[r.doc_id] for r in after.collect())
     before, after = kept["benchmarks"]
     hit = {r.id for r in op6_decontaminate.contamination(before, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect() if r.n_hit}
     assert {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()} == hit
