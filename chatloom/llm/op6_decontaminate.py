@@ -127,7 +127,7 @@ def phrases(docs: DataFrame, cut: DataFrame, index: DataFrame, looked: DataFrame
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id, n_words, n_hit, item_list`` (of the items' ids as strings, sorted)."""
+    """Per row of ``docs``: ``id, whole, n_words, n_hit, item_list`` (of the items' ids as strings, sorted)."""
     named = keyed(docs, id_col, text_col)
     cut = materialize(windows(items, item_col, item_text, size), "windows")
     terms = cut.select(F.explode("terms").alias("term")).distinct()
@@ -148,6 +148,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col:
     joined = rows.join(hits, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")), "left")
     return joined.select(
         "id",
+        "whole",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("item_list", F.array().cast("array<string>")).alias("item_list"),
@@ -211,8 +212,10 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: ``docs`` without those that hold a window of a benchmark item."""
+    """Pipeline stage: ``docs`` without the rows that hold a window of a benchmark item. Other rows of the
+    same id, or without one, stay."""
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("n_hit > 0").select("id").distinct()
+    bad = found.where("n_hit > 0").select(F.col("id").alias("_id"), F.col("whole").alias("_whole")).distinct()
     bad = materialize(bad, "bad")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["id"]), "left_anti")
+    whole = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (whole == bad["_whole"]), "left_anti")

@@ -41,3 +41,13 @@ def test_stages_on_odd_documents(spark, sf_dir, odd_docs, no_docs):
             result = stage(spark, docs, sf_dir)
             assert set(docs.columns) <= set(result.columns), name
             assert result.count() <= docs.count()
+
+
+def test_benchmarks_go_by_row(spark, tmp_path):
+    passage = "one two three four five six seven eight nine ten"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"so {passage}"), (None, "clean"), (None, "clean"), (None, None), (4, passage), (4, "clean too"), (4, ""), (5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = op6_decontaminate.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    want = [r for r in rows if passage not in (r[1] or "")]
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, want))
