@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import table, text_chunks
@@ -83,16 +83,18 @@ def majority(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
-    """The id and the fingerprint (as a signed long) of each row."""
-    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """``id, whole, fp`` of each row: its id, a hash of its text, and the fingerprint (as a signed long)."""
+    text = F.col(text_col)
+    given = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("whole"), text.alias("text"))
     kind = given.schema["id"].dataType.simpleString()
 
     def work(batches):
         for part in text_chunks(batches, "text"):
             prints = majority(*hashes(part.column("text").to_pylist(), words)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(prints)], names=["id", "fp"])
+            columns = [part.column("id"), part.column("whole"), pa.array(prints)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "whole", "fp"])
 
-    return given.mapInArrow(work, f"id {kind}, fp long")
+    return given.mapInArrow(work, f"id {kind}, whole long, fp long")
 
 
 def _table_points(half: Column, number: int) -> Column:
@@ -146,7 +148,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> Data
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``id, fp, component`` for each row: its fingerprint and the least id that links reach."""
+    """``id, whole, fp, root, component`` for each row: its id, a hash of its text, its fingerprint, the least
+    fingerprint and the least id that links reach."""
     rows = materialize(fingerprints(docs, id_col, text_col, words), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
     grouped = components(links(distinct.select("fp"), max_bits), "a", "b")
@@ -155,8 +158,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Only fingerprints with links share a root with others.
     rooted = materialize(rooted, "rooted")
     first = materialize(rooted.groupBy("root").agg(F.min("id").alias("component")), "first")
-    labels = materialize(rooted.join(first, "root").select("fp", "component"), "labels")
-    return rows.join(labels, "fp").select("id", "fp", "component")
+    labels = materialize(rooted.join(first, "root").select("fp", "root", "component"), "labels")
+    return rows.join(labels, "fp").select("id", "whole", "fp", "root", "component")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,17 +173,19 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component, the document with the least id. Of rows that repeat this id, the
-    one with the least text hash stays. Rows without an id stay if nothing in their component has one."""
+    """Pipeline stage: of each component, the row with the least id, nulls last. Of rows that repeat this id,
+    the one with the least text hash stays, and one of those that repeat both."""
     found = near_duplicates(docs)
-    kept = found.where(F.col("id") == F.col("component")).groupBy("id").agg(F.count("*").alias("n"))
-    kept = materialize(kept.select(F.col("id").alias("_id"), F.col("n").alias("_n")), "kept")
-    named = docs.join(kept, F.col("doc_id") == F.col("_id"))
+    alike = found.groupBy("root", "id", "whole").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "whole", "n")).alias("first")
+    kept = alike.groupBy("root").agg(first)
+    # A text has one fingerprint, so an id and a text hash are of one component.
+    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.whole").alias("_whole"), F.col("first.n").alias("_n"))
+    kept = materialize(kept, "kept")
+    whole = F.xxhash64("text")
+    named = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (whole == F.col("_whole")))
     result = named.where("_n = 1").select(docs.columns)
     if not kept.where("_n > 1").isEmpty():
-        order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        again = named.where("_n > 1").withColumn("_row", F.row_number().over(order))
-        result = result.union(again.where("_row = 1").select(docs.columns))
-    if not found.where("component is null").isEmpty():
-        result = result.union(docs.where("doc_id is null"))
+        again = named.where("_n > 1").dropDuplicates(["_id", "_whole"])
+        result = result.union(again.select(docs.columns))
     return result

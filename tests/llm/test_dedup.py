@@ -119,6 +119,15 @@ def test_simhash_fingerprints_and_components(spark, sf_dir, odd_docs, no_docs):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({g for g in groups.values() if g is not None})
 
 
+def test_keep_first_goes_by_row(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i * i % 97}" for i in range(60)) for x in "abcde")
+    # Copies with and without an id, copies without any id, one id with unrelated texts, whole rows twice.
+    rows = [(1, a), (None, a), (2, a), (None, b), (None, b), (None, c), (7, d), (7, e), (8, e), (9, "x"), (9, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in op5.keep_first(spark, docs, "").collect()]
+    assert sorted(map(repr, kept)) == sorted(map(repr, [(1, a), (None, b), (None, c), (7, d), (7, e), (9, "x")]))
+
+
 @pytest.mark.parametrize("meet", [256, 2])
 def test_links_of_close_fingerprints(spark, meet):
     rng = random.Random(3)
