@@ -15,6 +15,7 @@ from chatloom.llm import (
     op8_sentencepiece,
     op9_token_counts,
     op10_licenses,
+    op12_periodic_runs,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece.query,
     "op9_token_counts": op9_token_counts.query,
     "op10_license_scan": op10_licenses.query,
+    "op12_periodic_runs": op12_periodic_runs.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
