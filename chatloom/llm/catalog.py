@@ -16,6 +16,7 @@ from chatloom.llm import (
     op9_token_counts,
     op10_licenses,
     op12_periodic_runs,
+    op13_sharding,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts.query,
     "op10_license_scan": op10_licenses.query,
     "op12_periodic_runs": op12_periodic_runs.query,
+    "op13_sharding": op13_sharding.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
