@@ -15,6 +15,7 @@ from chatloom.llm import (
     op8_sentencepiece,
     op9_token_counts,
     op10_licenses,
+    op11_hard_negatives,
     op12_periodic_runs,
     op13_sharding,
 )
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece.query,
     "op9_token_counts": op9_token_counts.query,
     "op10_license_scan": op10_licenses.query,
+    "op11_hard_negatives": op11_hard_negatives.query,
     "op12_periodic_runs": op12_periodic_runs.query,
     "op13_sharding": op13_sharding.query,
 }
@@ -37,4 +39,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": op3_warc.ORACLE_SQL,
     "op6_decontamination": op6_decontaminate.ORACLE_SQL,
+    "op11_hard_negatives": op11_hard_negatives.ORACLE_SQL,
 }
