@@ -1,10 +1,11 @@
 from .censoring import censor_messages, drop_profane_messages
 from .formatting import format_messages, parse_messages, quarantine_messages
 from .ranking import count_messages, top_channels, top_users
-from .timing import compare_runs, latency_summary, load_rate, stamp_latency
+from .timing import compare_groups, compare_runs, latency_summary, load_rate, stamp_latency
 
 __all__ = [
     "censor_messages",
+    "compare_groups",
     "compare_runs",
     "count_messages",
     "drop_profane_messages",

@@ -22,7 +22,9 @@ from ..schema import MESSAGE_COLUMNS
 from ..session import scratch_dir
 from ..sources import dataset_prefix, read_messages, subscribe_channels
 from ..streaming.jobs import censor_job, format_job
+from ..streaming.latency import publish_latency, read_latency_stream, read_latency_table
 from ..streaming.sinks import (
+    latency_values,
     read_latency,
     stored_schema,
     write_messages_stream,
@@ -162,6 +164,18 @@ def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("message_id", "text", "task", (F.col("latency_ms") >= 0).alias("measured"))
 
 
+def _stream_latency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency records, of which a seventh was written twice, through the stream into the published table."""
+    folder = scratch_dir(spark, "stream-latency-table")
+    records = latency_values(views.latency_records(spark, sf_dir))
+    records.write.text(f"{folder}/topic/batch_id=0")
+    again = views.latency_records(spark, sf_dir).where(F.col("message_id") % 7 == 0)
+    latency_values(again).write.text(f"{folder}/topic/batch_id=1")
+    stream = read_latency_stream(spark, f"{folder}/topic", maxBytesPerTrigger=views.MAX_BYTES_PER_BATCH)
+    publish_latency(stream, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+    return read_latency_table(spark, f"{folder}/table")
+
+
 def _job_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "job-format")
     format_job(
@@ -258,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "stream_censor": _stream_censor,
     "stream_subscribe": _stream_subscribe,
     "stream_latency": _stream_latency,
+    "stream_latency_table": _stream_latency_table,
     "job_format": _job_format,
     "job_latency": _job_latency,
     "job_subscribe": _job_subscribe,
@@ -355,6 +370,11 @@ SELECT {_MESSAGE}, trim(text) AS text FROM chat WHERE channel_id IN (0, 1)""",
     "stream_latency": rf"""{_CHAT}
 SELECT message_id, regexp_replace(text, '\b({_BAD})\b', '***', 'gi') AS text, 'censor' AS task,
        true AS measured FROM chat""",
+    "stream_latency_table": f"""{_CHAT}
+SELECT event_type AS task, CASE user_id % 3 WHEN 0 THEN 31::BIGINT WHEN 1 THEN 77 ELSE 123 END AS load,
+       CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS engine, count(*) AS n,
+       round(avg(ms), 3) AS mean_ms, round(stddev_samp(ms), 3) AS std_ms, CAST(max(ms) AS DOUBLE) AS max_ms
+FROM (SELECT *, CAST(round(value * 1000) AS BIGINT) // 1000 AS ms FROM events) GROUP BY ALL""",
     "job_format": _FORMAT_SQL,
     "job_subscribe": f"""{_CHAT}
 SELECT {_MESSAGE}, trim(text) AS text FROM chat WHERE channel_id IN (0, 1)""",

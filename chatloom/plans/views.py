@@ -83,6 +83,20 @@ def latency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def latency_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A latency record per event, as a job writes it: two engines, at the three published loads."""
+    load = F.element_at(F.array(F.lit(31), F.lit(77), F.lit(123)), (F.col("user_id") % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("message_id"),
+        F.col("event_type").alias("task"),
+        F.col("ts").cast("timestamp").alias("arrived_at"),
+        F.expr("cast(round(value * 1000) as bigint) div 1000").alias("latency_ms"),
+        F.when(F.col("user_id") % 2 == 0, "a").otherwise("b").alias("engine"),
+        load.cast("bigint").alias("load"),
+        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("record"),
+    )
+
+
 def popular_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The channel list of the subscription query: channels 0 and 1."""
     channels = chat_headers(spark, sf_dir).select("channel_id").distinct()

@@ -1,4 +1,13 @@
 from .jobs import censor_job, format_job, run_job
+from .latency import (
+    latency_table,
+    latency_totals,
+    publish_latency,
+    read_latency_stream,
+    read_latency_table,
+    unique_records,
+    wide_table,
+)
 from .progress import batch_durations, log_batches
 from .sinks import read_latency, write_latency_stream, write_messages_stream
 
@@ -6,9 +15,16 @@ __all__ = [
     "batch_durations",
     "censor_job",
     "format_job",
+    "latency_table",
+    "latency_totals",
     "log_batches",
+    "publish_latency",
     "read_latency",
+    "read_latency_stream",
+    "read_latency_table",
     "run_job",
+    "unique_records",
+    "wide_table",
     "write_latency_stream",
     "write_messages_stream",
 ]
