@@ -1,7 +1,8 @@
 """Masking profanity, and dropping messages that contain it.
 
-Up to ``MAX_PATTERN_CHARS`` of lexicon the work is one expression per row: no shuffle, and the same
-on a stream. A larger lexicon is joined with the words of the messages instead.
+The work is one expression per row, without a shuffle and the same on a stream: a pattern up to
+``MAX_PATTERN_CHARS`` of lexicon, hash tables in the plan (:mod:`.lookup`) up to ``MAX_CHARS``. Beyond that, words
+of a batch are joined with the lexicon, since a plan should not carry it.
 """
 
 from collections.abc import Iterable
@@ -21,6 +22,7 @@ from ..functions.lexicon import (
 )
 from ..functions.skew import PIECE, copy_keys, cut_rows, hot_keys
 from ..session import materialize
+from . import lookup
 
 Lexicon = DataFrame | Iterable[str | None]
 
@@ -32,6 +34,7 @@ def censor_messages(
     lexicon: Lexicon,
     mask: str = "***",
     max_pattern_chars: int = MAX_PATTERN_CHARS,
+    max_table_chars: int = lookup.MAX_CHARS,
 ) -> DataFrame:
     """``messages`` with every whole-word hit in ``text`` replaced.
 
@@ -42,6 +45,10 @@ def censor_messages(
     if frame is None:
         pattern = word_pattern(words)
         return messages if pattern is None else _mask_column(messages, pattern, mask)
+    if _fits_tables(messages, frame, max_table_chars):
+        hits = lookup.with_hits(messages, lookup.Tables(frame))
+        hidden = None if mask == LENGTH_MASK else F.lit(mask)
+        return hits.withColumn("text", lookup.replaced(F.col("text"), hidden)).select(*messages.columns)
     words, phrases, present = _occurring(messages, frame, max_pattern_chars)
     if present is None:
         return censor_messages(messages, words + phrases, mask, 2 * max_pattern_chars)
@@ -62,12 +69,18 @@ def censor_messages(
 
 
 def drop_profane_messages(
-    messages: DataFrame, lexicon: Lexicon, max_pattern_chars: int = MAX_PATTERN_CHARS
+    messages: DataFrame,
+    lexicon: Lexicon,
+    max_pattern_chars: int = MAX_PATTERN_CHARS,
+    max_table_chars: int = lookup.MAX_CHARS,
 ) -> DataFrame:
     """The messages without a hit. A null text has no hit, so its message is kept."""
     words, frame = _sized(messages, lexicon, max_pattern_chars)
     if frame is None:
         return _without_matches(messages, word_pattern(words))
+    if _fits_tables(messages, frame, max_table_chars):
+        hits = lookup.with_hits(messages, lookup.Tables(frame))
+        return hits.where(~lookup.is_hit()).select(*messages.columns)
     words, phrases, present = _occurring(messages, frame, max_pattern_chars)
     if present is None:
         return drop_profane_messages(messages, words + phrases, 2 * max_pattern_chars)
@@ -121,6 +134,13 @@ def _sized(
     return None, messages.sparkSession.createDataFrame([(word,) for word in words], "word string")
 
 
+def _fits_tables(messages: DataFrame, lexicon: DataFrame, max_chars: int) -> bool:
+    """Whether the plan may carry the lexicon. On a stream, whose rows cannot be joined and put together again, always."""
+    if messages.isStreaming:
+        return True
+    return (lexicon.agg(F.sum(F.char_length("word"))).first()[0] or 0) <= max_chars
+
+
 def _collect_bounded(lexicon: DataFrame, max_chars: int) -> list[str] | None:
     """The words of a frame, or None without collecting if they have too many characters."""
     size = lexicon.agg(F.sum(F.char_length("word")).alias("chars")).first()["chars"]
@@ -143,8 +163,6 @@ def _occurring(
 ) -> tuple[list[str] | None, list[str], _Present | None]:
     """What a large lexicon comes down to: a list of the used words or, if that is too long, a
     frame of them; and its phrases."""
-    if messages.isStreaming:
-        raise ValueError("a lexicon of this size needs batches: censor inside a batch job")
     word = fold(F.col("word"))
     # Stored, so that the test for plain words is not inferred for the words of the messages too.
     folded = materialize(

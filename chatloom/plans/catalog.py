@@ -63,7 +63,22 @@ def _censor_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _censor_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A lexicon with no room in a pattern: every word is found by the join.
-    return censor_messages(views.chat(spark, sf_dir), views.LEXICON, max_pattern_chars=0)
+    return censor_messages(views.chat(spark, sf_dir), views.LEXICON, max_pattern_chars=0, max_table_chars=0)
+
+
+def _censor_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Pairs of words are entries too, and the mask is a word.
+    return censor_messages(views.chat(spark, sf_dir), views.long_lexicon(spark, sf_dir), "X", max_pattern_chars=0)
+
+
+def _drop_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_profane_messages(views.chat(spark, sf_dir), views.long_lexicon(spark, sf_dir), max_pattern_chars=0)
+
+
+def _stream_censor_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formatted = format_messages(views.raw(views.chat_stream(spark, sf_dir)))
+    masked = censor_messages(formatted, views.long_lexicon(spark, sf_dir), "X", max_pattern_chars=0)
+    return _through_sink(masked, "stream-censor-phrases").select(*MESSAGE_COLUMNS)
 
 
 def _drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +86,7 @@ def _drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drop_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_profane_messages(views.chat(spark, sf_dir), views.LEXICON, max_pattern_chars=0)
+    return drop_profane_messages(views.chat(spark, sf_dir), views.LEXICON, max_pattern_chars=0, max_table_chars=0)
 
 
 def _format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +262,9 @@ QUERIES: dict[str, Query] = {
     "censor_messages": _censor,
     "censor_messages_length": _censor_length,
     "censor_messages_large_lexicon": _censor_large_lexicon,
+    "censor_messages_phrases": _censor_phrases,
     "drop_profane_messages": _drop,
+    "drop_profane_messages_phrases": _drop_phrases,
     "drop_profane_messages_large_lexicon": _drop_large_lexicon,
     "format_messages": _format,
     "format_damaged_messages": _format_damaged,
@@ -270,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "sql_drop_profane_messages": _sql("drop_profane_messages", views.chat),
     "stream_format": _stream_format,
     "stream_censor": _stream_censor,
+    "stream_censor_phrases": _stream_censor_phrases,
     "stream_subscribe": _stream_subscribe,
     "stream_latency": _stream_latency,
     "stream_latency_table": _stream_latency_table,
@@ -325,7 +343,10 @@ ORACLE_SQL: dict[str, str] = {
     "censor_messages": _CENSOR_SQL,
     "censor_messages_length": f"{_CHAT} SELECT {_MESSAGE}, {_masked_by_length()} AS text FROM chat",
     "censor_messages_large_lexicon": _CENSOR_SQL,
+    "censor_messages_phrases": rf"""{_CHAT}
+SELECT {_MESSAGE}, regexp_replace(text, '\b(({_BAD})( ({_BAD}))?)\b', 'X', 'gi') AS text FROM chat""",
     "drop_profane_messages": _DROP_SQL,
+    "drop_profane_messages_phrases": _DROP_SQL,
     "drop_profane_messages_large_lexicon": _DROP_SQL,
     "format_messages": _FORMAT_SQL,
     "format_damaged_messages": f"{_FORMAT_SQL} WHERE event_type <> 'error'",
@@ -365,6 +386,8 @@ FROM means""",
     "sql_drop_profane_messages": _DROP_SQL,
     "stream_format": _FORMAT_SQL,
     "stream_censor": _CENSOR_TRIMMED_SQL,
+    "stream_censor_phrases": rf"""{_CHAT}
+SELECT {_MESSAGE}, regexp_replace(trim(text), '\b(({_BAD})( ({_BAD}))?)\b', 'X', 'gi') AS text FROM chat""",
     "stream_subscribe": f"""{_CHAT}
 SELECT {_MESSAGE}, trim(text) AS text FROM chat WHERE channel_id IN (0, 1)""",
     "stream_latency": rf"""{_CHAT}

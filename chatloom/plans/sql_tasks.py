@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from ..functions.lexicon import MAX_PATTERN_CHARS, gap_pattern, mask_literal, word_pattern
-from ..operators.censoring import LENGTH_MASK
+from ..operators.censoring import LENGTH_MASK, censor_messages, drop_profane_messages
 
 COUNT_MESSAGES = "SELECT count(*) AS n FROM {chat}"
 
@@ -61,7 +61,7 @@ TASKS = {
 def run_sql_task(
     task: str, chat: DataFrame, lexicon: Iterable[str] = (), mask: str = "***", k: int = 10
 ) -> DataFrame:
-    """Runs one of ``TASKS`` on ``chat``; the lexicon must be small enough for a pattern."""
+    """Runs one of ``TASKS`` on ``chat``. A lexicon that is too large for a pattern goes to the DataFrame operators."""
     text = TASKS[task]
     if task == "censor_messages" and mask == LENGTH_MASK:
         text = CENSOR_MESSAGES_BY_LENGTH
@@ -69,7 +69,10 @@ def run_sql_task(
     if ":pattern" in text:
         words = [word for word in lexicon if word]
         if sum(map(len, words)) > MAX_PATTERN_CHARS:
-            raise ValueError("lexicon too large for SQL; use the DataFrame operators")
+            columns = ["message_id", "sent_at", "user_id", "channel_id", "text"]
+            if task == "censor_messages":
+                return censor_messages(chat, words, mask).select(*columns)
+            return drop_profane_messages(chat, words).select(*columns)
         # A pattern that never matches stands for an empty lexicon.
         args["pattern"] = word_pattern(words) or "(?!)"
     if ":gaps" in text:

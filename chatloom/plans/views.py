@@ -97,6 +97,14 @@ def latency_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexicon, all pairs of its words as phrases, and an entry per document that no text holds."""
+    words = spark.createDataFrame([(word,) for word in LEXICON], "word string")
+    pairs = words.select(F.explode(F.array(*[F.concat("word", F.lit(f" {word}")) for word in LEXICON])).alias("word"))
+    unused = table(spark, sf_dir, "documents").select(F.format_string("qqzzxx%d", "doc_id").alias("word"))
+    return words.union(pairs).union(unused)
+
+
 def popular_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The channel list of the subscription query: channels 0 and 1."""
     channels = chat_headers(spark, sf_dir).select("channel_id").distinct()

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from chatloom.functions.lexicon import clean_words, mask_literal, word_pattern
 from chatloom.operators import censor_messages, drop_profane_messages
@@ -25,20 +26,26 @@ CASES = [
 ]
 
 
+PATTERN = {"max_pattern_chars": 10_000}
+TABLES = {"max_pattern_chars": 0}
+JOIN = {"max_pattern_chars": 0, "max_table_chars": 0}
+WAYS = [PATTERN, TABLES, JOIN]
+
+
 @pytest.fixture(scope="module")
 def cases(spark):
     return messages(spark, [given for given, _ in CASES]).cache()
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_whole_words_in_any_script(cases, limit):
-    masked = censor_messages(cases, WORDS, mask="*", max_pattern_chars=limit)
+@pytest.mark.parametrize("way", WAYS)
+def test_whole_words_in_any_script(cases, way):
+    masked = censor_messages(cases, WORDS, mask="*", **way)
     assert texts(masked) == [want for _, want in CASES]
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_dropping_keeps_null_and_clean_texts(cases, limit):
-    kept = drop_profane_messages(cases, WORDS, max_pattern_chars=limit)
+@pytest.mark.parametrize("way", WAYS)
+def test_dropping_keeps_null_and_clean_texts(cases, way):
+    kept = drop_profane_messages(cases, WORDS, **way)
     assert texts(kept) == [given for given, want in CASES if given == want]
 
 
@@ -77,15 +84,15 @@ def test_empty_lexicon_changes_nothing(spark, cases):
 
 def test_lexicon_frame(spark, cases):
     lexicon = spark.createDataFrame([(word,) for word in [*WORDS, None, ""]], "word string")
-    for limit in (10_000, 15, 0):
-        masked = censor_messages(cases, lexicon, mask="*", max_pattern_chars=limit)
+    for way in (*WAYS, {"max_pattern_chars": 15, "max_table_chars": 0}):
+        masked = censor_messages(cases, lexicon, mask="*", **way)
         assert texts(masked) == [want for _, want in CASES]
 
 
 def test_large_lexicon_that_the_messages_hardly_use(spark, cases):
     # Too long for a pattern, but the words that occur are not.
     lexicon = [f"unused{i}" for i in range(500)] + WORDS
-    masked = censor_messages(cases, lexicon, mask="*", max_pattern_chars=100)
+    masked = censor_messages(cases, lexicon, mask="*", max_pattern_chars=100, max_table_chars=0)
     assert texts(masked) == [want for _, want in CASES]
 
 
@@ -93,27 +100,60 @@ def test_large_lexicon_with_phrases(spark):
     given = ["such a big bad idiot", "Big Bad", "big", "c++ idiot ugly", None]
     words = ["idiot", "such", "ugly", "big bad", "c++"]
     frame = messages(spark, given)
-    for mask in ("*", "length"):
-        masked = censor_messages(frame, words, mask, max_pattern_chars=10)
-        assert texts(masked) == [mask_text(text, words, mask) for text in given]
-    kept = drop_profane_messages(frame, words, max_pattern_chars=10)
-    assert texts(kept) == ["big", None]
+    join = {"max_pattern_chars": 10, "max_table_chars": 0}
+    for way in (TABLES, join):
+        for mask in ("*", "length"):
+            masked = censor_messages(frame, words, mask, **way)
+            assert texts(masked) == [mask_text(text, words, mask) for text in given]
+        assert texts(drop_profane_messages(frame, words, **way)) == ["big", None]
+    assert texts(censor_messages(frame, words, "such", **TABLES)) == [mask_text(text, words, "such") for text in given]
+    # Only a lexicon that no plan should carry has limits.
     with pytest.raises(ValueError, match="mask"):
-        censor_messages(frame, words, "such", max_pattern_chars=10).collect()
+        censor_messages(frame, words, "such", **join).collect()
     with pytest.raises(ValueError, match="phrases"):
-        censor_messages(frame, words, max_pattern_chars=5)
+        censor_messages(frame, words, **(join | {"max_pattern_chars": 5}))
+
+
+def test_tables_on_random_phrases(spark):
+    """Overlapping phrases, entries of signs and control characters, and masks that are entries themselves."""
+    rng = random.Random(11)
+    signs = ["a", "B", "c1", "é", " ", "  ", "+", "+", ".", "\x00", "\x01", "\x02", "\n", "👍"]
+    words = ["".join(rng.choices(signs, k=rng.randint(1, 5))) for _ in range(60)] + ["a a", "a a a", "a a b", "\x01", "\x00a", "c1", "+"]
+    given = ["".join(rng.choices(signs, k=rng.randint(0, 25))) for _ in range(1500)] + ["a " * 500, None, ""]
+    frame = messages(spark, given)
+    for mask in ("a", "length"):
+        got = texts(censor_messages(frame, words, mask, **TABLES))
+        wrong = [(t, g, w) for t, g in zip(given, got, strict=True) if g != (w := mask_text(t, words, mask))]
+        assert not wrong, (mask, wrong[:5])
+    clean = [text for text in given if text is None or not find_hits(text, words)]
+    assert texts(drop_profane_messages(frame, words, **TABLES)) == clean
+
+
+def test_same_result_with_very_many_entries(spark, cases):
+    unused = spark.range(200_000).select(F.concat(F.lit("unused"), F.col("id").cast("string")).alias("word"))
+    lexicon = unused.union(spark.createDataFrame([(word,) for word in WORDS], "word string"))
+    masked = censor_messages(cases, lexicon, mask="*")
+    assert texts(masked) == [want for _, want in CASES]
+    plan = masked._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_sql_takes_any_lexicon(spark, cases, monkeypatch):
+    monkeypatch.setattr("chatloom.plans.sql_tasks.MAX_PATTERN_CHARS", 0)
+    assert texts(run_sql_task("censor_messages", cases, WORDS, mask="*")) == [want for _, want in CASES]
+    assert texts(run_sql_task("drop_profane_messages", cases, WORDS)) == [given for given, want in CASES if given == want]
 
 
 def test_messages_without_ids_or_with_repeated_ids(spark):
     rows = [(None, "idiot"), (None, "ok"), (1, "an idiot"), (1, "a scum"), (1, "an idiot")]
     frame = spark.createDataFrame(rows, "message_id bigint, text string")
-    masked = censor_messages(frame, ["idiot", "scum"], "*", max_pattern_chars=0)
+    masked = censor_messages(frame, ["idiot", "scum"], "*", **JOIN)
     got = sorted(row["text"] for row in masked.collect())
     assert got == sorted(["*", "ok", "an *", "a *", "an *"])
 
 
 def test_random_texts_against_brute_force(spark):
-    """Both ways agree with a plain search, irregular case pairs included."""
+    """All ways agree with a plain search, irregular case pairs included."""
     rng = random.Random(7)
     alphabet = "iIİısSſkKKσΣςßẞµμéåÅ𐐀𐐨_1 .-+́"
     words = ["is", "kiss", "σίς", "Iσ", "ſk", "µ1", "ß", "é", "Å", "𐐨i", "i", "1"]
@@ -123,13 +163,13 @@ def test_random_texts_against_brute_force(spark):
     frame = messages(spark, given)
     for mask in ("#", "length"):
         want = [mask_text(text, words, mask) for text in given]
-        for limit in (10_000, 0):
-            got = texts(censor_messages(frame, words, mask, max_pattern_chars=limit))
+        for way in WAYS:
+            got = texts(censor_messages(frame, words, mask, **way))
             wrong = [(t, g, w) for t, g, w in zip(given, got, want, strict=True) if g != w]
-            assert not wrong, (limit, mask, wrong[:5])
+            assert not wrong, (way, mask, wrong[:5])
     clean = [text for text in given if not find_hits(text, words)]
-    for limit in (10_000, 0):
-        assert texts(drop_profane_messages(frame, words, max_pattern_chars=limit)) == clean
+    for way in WAYS:
+        assert texts(drop_profane_messages(frame, words, **way)) == clean
 
 
 def test_pattern_factors_prefixes():

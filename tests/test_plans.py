@@ -60,7 +60,7 @@ def test_large_tables_are_joined_without_a_broadcast(spark, sf_dir):
     try:
         text = plan(views.chat(spark, sf_dir))
         assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
-        text = plan(censor_messages(views.chat(spark, sf_dir), views.LEXICON, max_pattern_chars=0))
+        text = plan(censor_messages(views.chat(spark, sf_dir), views.LEXICON, max_pattern_chars=0, max_table_chars=0))
         # Only the hot words are broadcast, of which there can be few: twice with their pieces, and
         # once those to leave out.
         assert text.count("BroadcastExchange") == 3
