@@ -1,6 +1,7 @@
 """The registered queries, and for each the SQL that must give the same rows."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from ..operators import (
 )
 from ..schema import MESSAGE_COLUMNS
 from ..session import scratch_dir
-from ..sources import dataset_prefix, read_messages, subscribe_channels
+from ..sources import dataset_prefix, read_messages, subscribe_changes, subscribe_channels
 from ..streaming.jobs import censor_job, format_job
+from ..streaming.layout import compact_messages, store_batch
 from ..streaming.latency import publish_latency, read_latency_stream, read_latency_table
 from ..streaming.sinks import (
     latency_values,
@@ -111,6 +113,31 @@ def _subscribe_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subscribe_channels(views.chat(spark, sf_dir), channels, max_broadcast=0)
 
 
+def _subscribe_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subscribe_changes(views.chat(spark, sf_dir), views.subscription_log(spark, sf_dir), at="sent_at")
+
+
+def _subscribe_many_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = views.subscription_log(spark, sf_dir)
+    return subscribe_changes(views.chat(spark, sf_dir), log, at="sent_at", max_broadcast=0)
+
+
+def _stream_subscribe_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formatted = format_messages(views.raw(views.chat_stream(spark, sf_dir)))
+    kept = subscribe_changes(formatted, views.subscription_log(spark, sf_dir), at="sent_at")
+    return _through_sink(kept, "stream-subscribe-changes").select(*MESSAGE_COLUMNS)
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages stored as four batches, one of them twice, and packed."""
+    path = scratch_dir(spark, "compacted")
+    messages = format_messages(views.raw(views.chat(spark, sf_dir)))
+    for batch_id in (0, 1, 1, 2, 3):
+        store_batch(messages.where(F.col("message_id") % 4 == batch_id), path, batch_id)
+    compact_messages(spark, path, date.max)
+    return _date_as_text(read_messages(spark, path))
+
+
 def _prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = views.table(spark, sf_dir, "events").count() * SMALLEST_RUN // LARGEST_RUN
     return dataset_prefix(views.chat(spark, sf_dir), n)
@@ -271,6 +298,9 @@ QUERIES: dict[str, Query] = {
     "quarantine_messages": _quarantine,
     "subscribe_channels": _subscribe,
     "subscribe_many_channels": _subscribe_many,
+    "subscribe_changes": _subscribe_changes,
+    "subscribe_many_changes": _subscribe_many_changes,
+    "compacted_messages": _compacted,
     "dataset_prefix": _prefix,
     "dataset_prefix_with_holes": _prefix_with_holes,
     "dataset_prefix_of_repeats": _prefix_of_repeats,
@@ -289,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "stream_censor": _stream_censor,
     "stream_censor_phrases": _stream_censor_phrases,
     "stream_subscribe": _stream_subscribe,
+    "stream_subscribe_changes": _stream_subscribe_changes,
     "stream_latency": _stream_latency,
     "stream_latency_table": _stream_latency_table,
     "job_format": _job_format,
@@ -336,6 +367,13 @@ _FORMAT_SQL = f"""{_CHAT}
 SELECT {_MESSAGE}, trim(text) AS text, CAST(CAST(sent_at AS DATE) AS VARCHAR) AS sent_date FROM chat"""
 _SUBSCRIBE_SQL = f"{_CHAT} SELECT {_MESSAGE}, text FROM chat WHERE channel_id IN (0, 1)"
 
+_CHANGES_SQL = _CHAT.replace("%", "%%") + """, changes AS (
+    SELECT channel_id, sent_at AS changed_at, bool_and(message_id %% 2 = 0) AS wanted
+    FROM chat WHERE event_type = 'error' GROUP BY ALL
+)
+SELECT c.message_id, c.sent_at, c.user_id, c.channel_id, %s AS text
+FROM chat c ASOF JOIN changes l ON c.channel_id = l.channel_id AND c.sent_at >= l.changed_at WHERE l.wanted"""
+
 ORACLE_SQL: dict[str, str] = {
     "count_messages": _COUNT_SQL,
     "top_channels": _TOP_CHANNELS_SQL,
@@ -355,6 +393,10 @@ SELECT concat('{{"message_id":', message_id, ',"user_id":', user_id) AS value
 FROM chat WHERE event_type = 'error'""",
     "subscribe_channels": _SUBSCRIBE_SQL,
     "subscribe_many_channels": _SUBSCRIBE_SQL,
+    "subscribe_changes": _CHANGES_SQL % "text",
+    "subscribe_many_changes": _CHANGES_SQL % "text",
+    "stream_subscribe_changes": _CHANGES_SQL % "trim(text)",
+    "compacted_messages": _FORMAT_SQL,
     "dataset_prefix": f"""{_CHAT}
 SELECT {_MESSAGE}, text FROM chat ORDER BY message_id LIMIT {_SMALLEST_SHARE}""",
     "dataset_prefix_with_holes": f"""{_CHAT}

@@ -111,6 +111,12 @@ def popular_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channels.where(F.col("channel_id").isin(0, 1))
 
 
+def subscription_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of subscriptions: every ``error`` event is one, of its own channel and time."""
+    headers = _headers(table(spark, sf_dir, "events").where(F.col("event_type") == "error"))
+    return headers.select("channel_id", F.col("sent_at").alias("changed_at"), (F.col("message_id") % 2 == 0).alias("wanted"))
+
+
 def _headers(events: DataFrame, *extra: str) -> DataFrame:
     return events.select(
         F.col("event_id").alias("message_id"),

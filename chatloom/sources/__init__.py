@@ -1,4 +1,11 @@
 from .messages import read_messages, read_messages_stream
-from .selection import dataset_prefix, subscribe_channels
+from .selection import channel_counts, dataset_prefix, subscribe_changes, subscribe_channels
 
-__all__ = ["dataset_prefix", "read_messages", "read_messages_stream", "subscribe_channels"]
+__all__ = [
+    "channel_counts",
+    "dataset_prefix",
+    "read_messages",
+    "read_messages_stream",
+    "subscribe_changes",
+    "subscribe_channels",
+]

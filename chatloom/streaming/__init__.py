@@ -8,12 +8,15 @@ from .latency import (
     unique_records,
     wide_table,
 )
+from .layout import compact_messages, finish_compaction, store_batch
 from .progress import batch_durations, log_batches
 from .sinks import read_latency, write_latency_stream, write_messages_stream
 
 __all__ = [
     "batch_durations",
     "censor_job",
+    "compact_messages",
+    "finish_compaction",
     "format_job",
     "latency_table",
     "latency_totals",
@@ -23,6 +26,7 @@ __all__ = [
     "read_latency_stream",
     "read_latency_table",
     "run_job",
+    "store_batch",
     "unique_records",
     "wide_table",
     "write_latency_stream",
