@@ -182,6 +182,17 @@ def test_every_batch_is_remembered(spark, folder):
     assert batch_durations(spark, query).count() == 105
 
 
+def test_batches_of_another_session_are_remembered(spark, folder):
+    put(folder, "a.json", [line(1)])
+    log_batches(spark)
+    other = spark.newSession()
+    log_batches(other)
+    query = read_messages_stream(other, str(folder / "in")).writeStream.format("noop")
+    query = query.option("checkpointLocation", str(folder / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert batch_durations(other, query).count() == 1
+
+
 def test_subscription_filters_a_stream(spark, folder):
     put(folder, "a.json", [line(i) for i in range(6)])
     channels = spark.createDataFrame([(1,)], "channel_id bigint")
