@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``frame`` has it in any case."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_bucket(ids: Column, n: int) -> Column:
     """crc32 of an id written as text, modulo ``n``."""
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % n

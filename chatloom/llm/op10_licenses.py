@@ -81,9 +81,10 @@ def template_grams(texts: list[str]) -> list[tuple[int, int, int, str]]:
 
 
 def hashed(docs: DataFrame, known: list[int], id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, a hash of all its words, their number, all rolling hashes (a mark first), and the words
+    """Per row: id, a hash of its text, its number of words, all rolling hashes (a mark first), and the words
     at the places whose hash is one of ``known``."""
-    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # Rows are named by id and text, since ids may be null or repeat.
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("whole"))
     kind = given.schema["id"].dataType.simpleString()
     wanted = np.unique(np.array(known, np.int64))
 
@@ -102,14 +103,13 @@ def hashed(docs: DataFrame, known: list[int], id_col: str, text_col: str) -> Dat
                 for at in own[found].tolist()
             ]
             marked = np.insert(grams[own], np.cumsum(each) - each, MARK)
-            whole = [int(codes[a:b].sum().view(np.int64)) if b > a else 0 for a, b in zip(bounds[:-1], bounds[1:])]
             lists = lambda sizes, values: pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values
             )
             hits = np.bincount(row[found], minlength=len(counts))
             columns = [
                 part.column("id"),
-                pa.array(whole, pa.int64()),
+                part.column("whole"),
                 pa.array(counts, pa.int64()),
                 lists(each + 1, pa.array(marked)),
                 lists(hits, pa.array((own - bounds[row])[found] + 1, pa.int32())),
@@ -165,7 +165,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=N
     found = spans.groupBy(*key).agg(F.collect_list(span).alias("spans"), F.max("copies").alias("copies"))
     base_spans = F.filter("spans", lambda s: s["base"])
     joined_labels = lambda some: F.array_join(F.array_sort(F.array_distinct(F.transform(some, lambda s: s["label"]))), ",")
-    # Rows that repeat id and words were counted, and come back as often.
+    # Rows that repeat id and text were counted, and come back as often.
     again = found.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
     return again.select(
         "id",

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatloom.llm.common import crc_bucket, flat_bytes, sums, table, text_chunks
+from chatloom.llm.common import crc_bucket, flat_bytes, free_name, sums, table, text_chunks
 
 BITS = 17
 SIZE = 12
@@ -249,5 +249,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reject(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: ``docs`` without those predicted to be of low quality."""
-    scored = score(docs, fitted(spark, docs, sf_dir), to="_score")
-    return scored.where(F.col("_score") >= 0.5).drop("_score")
+    name = free_name(docs, "_score")
+    scored = score(docs, fitted(spark, docs, sf_dir), to=name)
+    return scored.where(F.col(name) >= 0.5).drop(name)

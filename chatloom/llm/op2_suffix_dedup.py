@@ -457,9 +457,10 @@ def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pipeline stage: ``docs`` with the repeated bytes taken out of their texts. A character that
     loses some of its bytes goes whole. Documents stay, texts may become empty."""
     found = remove_repeats(docs)
-    found = found.select(F.col("key").alias("_key"), F.col("new_text").alias("_kept"), "n_removed")
-    changed = materialize(found.where("n_removed > 0").dropDuplicates(["_key"]), "changed")
-    keyed = docs.withColumn("_own", F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))))
-    joined = keyed.join(changed, F.col("_own") == F.col("_key"), "left")
-    text = F.when(F.col("_key").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(docs.columns)
+    changed = materialize(found.where("n_removed > 0").select("key", "new_text").dropDuplicates(["key"]), "changed")
+    # As one column, the rows' columns may have any names.
+    own = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct("*").alias("row"), own.alias("own"))
+    joined = rows.join(changed, F.col("own") == F.col("key"), "left")
+    text = F.when(F.col("key").isNotNull(), F.col("new_text")).otherwise(F.col("row.text"))
+    return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")

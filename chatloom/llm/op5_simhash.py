@@ -180,12 +180,13 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "whole", "n")).alias("first")
     kept = alike.groupBy("root").agg(first)
     # A text has one fingerprint, so an id and a text hash are of one component.
-    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.whole").alias("_whole"), F.col("first.n").alias("_n"))
+    kept = kept.select(F.col("first.id").alias("id"), F.col("first.whole").alias("whole"), F.col("first.n").alias("n"))
     kept = materialize(kept, "kept")
-    whole = F.xxhash64("text")
-    named = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (whole == F.col("_whole")))
-    result = named.where("_n = 1").select(docs.columns)
-    if not kept.where("_n > 1").isEmpty():
-        again = named.where("_n > 1").dropDuplicates(["_id", "_whole"])
-        result = result.union(again.select(docs.columns))
+    # As one column, the rows' columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"))
+    named = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("whole")))
+    result = named.where("n = 1").select("row.*")
+    if not kept.where("n > 1").isEmpty():
+        again = named.where("n > 1").dropDuplicates(["id", "whole"])
+        result = result.union(again.select("row.*"))
     return result

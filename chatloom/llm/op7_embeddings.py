@@ -10,8 +10,8 @@ cell of many members is cut into groups, and every pair of groups is a task of i
 the cell's. A task compares its members by matrix products and returns a count per member and a spanning forest of
 its links, never the pairs. A pair that meets several times is counted only where it meets first.
 
-Defined results: null vectors, zero vectors, and those with null or non-finite components or of another
-length than the rest (the most frequent one counts) link with nothing; equal vectors of another scale do link. A
+Defined results: null vectors, zero vectors, and those with null or non-finite components link with nothing; vectors
+link only with those of their own length; equal vectors of another scale, however great or small, do link. A
 null id is a row that links like others and is never a component's least id unless all are null. Rows that
 repeat an id are separate rows. Labels and other columns are ignored.
 """
@@ -70,7 +70,7 @@ def decode(points: np.ndarray) -> np.ndarray:
 
 
 def _cell_codes(cells: np.ndarray, number: int) -> np.ndarray:
-    """A 64-bit name of each cell (rows of eight doubled coordinates) in a table."""
+    """A 64-bit name of each cell (rows of eight doubled coordinates) in a table, which may be one of a length of vectors."""
     out = np.full(len(cells), number + 1, np.uint64)
     for k in range(cells.shape[1]):
         out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + (2 * cells[:, k]).astype(np.int64).view(np.uint64))
@@ -85,18 +85,22 @@ def codes(units: np.ndarray, tables: int = TABLES, scale: float = SCALE, probes:
         plane = rng.standard_normal((units.shape[1], 8)) * scale
         moved = units @ plane + rng.uniform(0, 1, 8)
         cell = decode(moved)
-        out[:, t, 0] = _cell_codes(cell, t)
+        # Vectors of different lengths never share a cell.
+        number = t + (units.shape[1] << 20)
+        out[:, t, 0] = _cell_codes(cell, number)
         if probes:
             toward = (moved - cell) @ ROOTS.T
             best = np.argpartition(-toward, probes - 1, axis=1)[:, :probes]
             for k in range(probes):
-                out[:, t, 1 + k] = _cell_codes(cell + ROOTS[best[:, k]], t)
+                out[:, t, 1 + k] = _cell_codes(cell + ROOTS[best[:, k]], number)
     return out
 
 
 def _unit(vectors: pa.Array) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     rows = flat.reshape(len(vectors), -1)
+    # No square is too great or too small for a float then.
+    rows = rows / np.abs(rows).max(axis=1, initial=0)[:, None]
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
@@ -105,8 +109,7 @@ def entries(classes: DataFrame, **how) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                part = batch.slice(at, 2_000)
+            for part in _by_length(batch, 2_000):
                 found = codes(_unit(part.column("vector")), **how)
                 each = found.shape[1] * found.shape[2]
                 own = np.zeros(found.shape, bool)
@@ -118,6 +121,15 @@ def entries(classes: DataFrame, **how) -> DataFrame:
     return classes.select("cls", "vector").mapInArrow(work, "cls long, code long, own boolean")
 
 
+def _by_length(batch: pa.RecordBatch, most: int):
+    """Parts of at most ``most`` rows whose vectors have one length."""
+    lengths = np.diff(batch.column("vector").offsets.to_numpy())
+    for length in np.unique(lengths):
+        places = np.flatnonzero(lengths == length)
+        for at in range(0, len(places), most):
+            yield batch.take(pa.array(places[at : at + most]))
+
+
 def first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The one code at which each pair (rows of two code arrays) is counted: in the first table where either
     probes the other's own cell, the lesser of such cells."""
@@ -232,10 +244,6 @@ def near_duplicates(
     # Minus zero and zero are one value.
     vector = F.when(sound, F.transform("vector", lambda x: x + F.lit(0.0)))
     given = given.select("id", vector.alias("vector"))
-    sizes = given.where("vector is not null").groupBy(F.size("vector").alias("size")).count()
-    usual = sizes.orderBy(F.desc("count"), "size").first()
-    usual = usual["size"] if usual else 0
-    given = given.withColumn("vector", F.when(F.size("vector") == usual, F.col("vector")))
     classes = given.where("vector is not null").groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("times"))
     # Numbers are fixed by being stored.
     classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
