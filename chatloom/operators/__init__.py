@@ -1,6 +1,6 @@
 from .censoring import censor_messages, drop_profane_messages
 from .formatting import format_messages, parse_messages, quarantine_messages
-from .ranking import count_messages, top_channels, top_users
+from .ranking import count_messages, top_channels, top_counted, top_keys, top_users
 from .timing import compare_groups, compare_runs, latency_summary, load_rate, stamp_latency
 
 __all__ = [
@@ -16,5 +16,7 @@ __all__ = [
     "quarantine_messages",
     "stamp_latency",
     "top_channels",
+    "top_counted",
+    "top_keys",
     "top_users",
 ]

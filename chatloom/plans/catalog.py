@@ -17,11 +17,14 @@ from ..operators import (
     quarantine_messages,
     stamp_latency,
     top_channels,
+    top_counted,
+    top_keys,
     top_users,
 )
 from ..schema import MESSAGE_COLUMNS
 from ..session import scratch_dir
 from ..sources import dataset_prefix, read_messages, subscribe_changes, subscribe_channels
+from ..streaming.counts import fold_counts, read_counts, store_counts
 from ..streaming.jobs import censor_job, format_job
 from ..streaming.layout import compact_messages, store_batch
 from ..streaming.latency import publish_latency, read_latency_stream, read_latency_table
@@ -55,6 +58,21 @@ def _top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_users(views.chat_headers(spark, sf_dir))
 
 
+def _top_users_by_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_keys(views.chat_headers(spark, sf_dir), "user_id")
+
+
+def _top_users_from_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top list from counts of four batches, one of them stored twice, of which three are folded."""
+    path = scratch_dir(spark, "counts")
+    headers = views.chat_headers(spark, sf_dir)
+    for batch_id in (0, 1, 1, 2, 3):
+        store_counts(headers.where(F.col("message_id") % 4 == batch_id), path, batch_id, ["user_id"])
+        if batch_id == 2:
+            fold_counts(spark, path, ["user_id"])
+    return top_counted(read_counts(spark, path, "user_id"), "user_id")
+
+
 def _censor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return censor_messages(views.chat(spark, sf_dir), views.LEXICON)
 
@@ -286,6 +304,8 @@ QUERIES: dict[str, Query] = {
     "count_messages": _count,
     "top_channels": _top_channels,
     "top_users": _top_users,
+    "top_users_by_buckets": _top_users_by_buckets,
+    "top_users_from_counts": _top_users_from_counts,
     "censor_messages": _censor,
     "censor_messages_length": _censor_length,
     "censor_messages_large_lexicon": _censor_large_lexicon,
@@ -378,6 +398,8 @@ ORACLE_SQL: dict[str, str] = {
     "count_messages": _COUNT_SQL,
     "top_channels": _TOP_CHANNELS_SQL,
     "top_users": _TOP_USERS_SQL,
+    "top_users_by_buckets": _TOP_USERS_SQL,
+    "top_users_from_counts": _TOP_USERS_SQL,
     "censor_messages": _CENSOR_SQL,
     "censor_messages_length": f"{_CHAT} SELECT {_MESSAGE}, {_masked_by_length()} AS text FROM chat",
     "censor_messages_large_lexicon": _CENSOR_SQL,

@@ -1,3 +1,4 @@
+from .counts import fold_counts, read_counts, store_counts
 from .jobs import censor_job, format_job, run_job
 from .latency import (
     latency_table,
@@ -17,16 +18,19 @@ __all__ = [
     "censor_job",
     "compact_messages",
     "finish_compaction",
+    "fold_counts",
     "format_job",
     "latency_table",
     "latency_totals",
     "log_batches",
     "publish_latency",
+    "read_counts",
     "read_latency",
     "read_latency_stream",
     "read_latency_table",
     "run_job",
     "store_batch",
+    "store_counts",
     "unique_records",
     "wide_table",
     "write_latency_stream",
