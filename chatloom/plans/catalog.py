@@ -21,9 +21,10 @@ from ..operators import (
     top_keys,
     top_users,
 )
+from ..operators.rules import format_by_rules, parse_by_rules
 from ..schema import MESSAGE_COLUMNS
 from ..session import scratch_dir
-from ..sources import dataset_prefix, read_messages, subscribe_changes, subscribe_channels
+from ..sources import dataset_prefix, dataset_prefixes, read_messages, subscribe_changes, subscribe_channels
 from ..streaming.counts import fold_counts, read_counts, store_counts
 from ..streaming.jobs import censor_job, format_job
 from ..streaming.layout import compact_messages, store_batch
@@ -113,6 +114,15 @@ def _format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _date_as_text(format_messages(views.raw(views.chat(spark, sf_dir))))
 
 
+def _format_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _date_as_text(format_by_rules(views.raw_of_several_forms(spark, sf_dir)))
+
+
+def _reasons_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = parse_by_rules(views.raw_with_damage(spark, sf_dir))
+    return parsed.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_messages(views.raw_with_damage(spark, sf_dir))
 
@@ -169,6 +179,16 @@ def _prefix_of_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_prefix(moved.union(moved), 2 * n)
 
 
+def _prefixes_of_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of three prefixes of a table that has every row twice and ids in steps of ten, and the sums of their ids."""
+    headers = views.chat_headers(spark, sf_dir).select((F.col("message_id") - F.col("message_id") % 10).alias("message_id"), "channel_id")
+    n = headers.count() * SMALLEST_RUN // LARGEST_RUN
+    found = dataset_prefixes(headers.union(headers), [n, 2 * n, 3 * n])
+    parts = [frame.withColumn("size", F.lit(size).cast("bigint")) for size, frame in found.items()]
+    every = parts[0].union(parts[1]).union(parts[2])
+    return every.groupBy("size").agg(F.count(F.lit(1)).alias("n"), F.sum("message_id").alias("ids"))
+
+
 def _prefix_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = views.table(spark, sf_dir, "events").count() * SMALLEST_RUN // LARGEST_RUN
     # The search for the n-th id reads the headers several times, so the text is added afterwards.
@@ -316,6 +336,8 @@ QUERIES: dict[str, Query] = {
     "format_messages": _format,
     "format_damaged_messages": _format_damaged,
     "quarantine_messages": _quarantine,
+    "format_by_rules": _format_by_rules,
+    "reasons_by_rules": _reasons_by_rules,
     "subscribe_channels": _subscribe,
     "subscribe_many_channels": _subscribe_many,
     "subscribe_changes": _subscribe_changes,
@@ -324,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "dataset_prefix": _prefix,
     "dataset_prefix_with_holes": _prefix_with_holes,
     "dataset_prefix_of_repeats": _prefix_of_repeats,
+    "dataset_prefixes_of_repeats": _prefixes_of_repeats,
     "latency_summary": _latency_summary,
     "load_rate": _load_rate,
     "compare_runs": _compare_runs,
@@ -409,6 +432,9 @@ SELECT {_MESSAGE}, regexp_replace(text, '\b(({_BAD})( ({_BAD}))?)\b', 'X', 'gi')
     "drop_profane_messages_phrases": _DROP_SQL,
     "drop_profane_messages_large_lexicon": _DROP_SQL,
     "format_messages": _FORMAT_SQL,
+    "format_by_rules": _FORMAT_SQL,
+    "reasons_by_rules": f"""{_CHAT}
+SELECT CASE event_type WHEN 'error' THEN 'not an object' END AS reason, count(*) AS n FROM chat GROUP BY 1""",
     "format_damaged_messages": f"{_FORMAT_SQL} WHERE event_type <> 'error'",
     "quarantine_messages": f"""{_CHAT}
 SELECT concat('{{"message_id":', message_id, ',"user_id":', user_id) AS value
@@ -426,6 +452,11 @@ SELECT {_MESSAGE}, text FROM chat WHERE event_type <> 'error' ORDER BY message_i
     "dataset_prefix_of_repeats": f"""{_CHAT}
 SELECT message_id + 1000 AS message_id, user_id
 FROM (SELECT * FROM chat ORDER BY message_id LIMIT {_SMALLEST_SHARE}), range(2)""",
+    "dataset_prefixes_of_repeats": f"""{_CHAT}, twice AS (
+    SELECT message_id - message_id % 10 AS id, row_number() OVER (ORDER BY message_id - message_id % 10) AS place
+    FROM chat, range(2)
+), sizes AS (SELECT CAST(unnest([1, 2, 3]) * {_SMALLEST_SHARE} AS BIGINT) AS size)
+SELECT size, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM twice JOIN sizes ON place <= size GROUP BY size""",
     "latency_summary": f"""{_CHAT}
 SELECT task, count(latency_us) AS n, round(avg(latency_us) / 1000, 3) AS mean_ms,
        round(stddev_samp(latency_us) / 1000, 3) AS std_ms, max(latency_us) / 1000 AS max_ms

@@ -73,6 +73,23 @@ def raw_with_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select(F.when(whole, _wire_value()).otherwise(cut).alias("value"))
 
 
+def raw_of_several_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON values in three layouts: this package's, and nested ones with the time as microseconds or with a zone."""
+    messages = chat(spark, sf_dir)
+    nested = [
+        F.col("message_id").cast("string").alias("id"),
+        F.struct(F.col("user_id").alias("id"), F.lit("someone").alias("login")).alias("user"),
+        F.struct(F.col("channel_id").alias("id")).alias("streamer"),
+        F.col("text").alias("message"),
+    ]
+    utc = F.col("sent_at").cast("string")
+    micros = F.to_json(F.struct(*nested, F.unix_micros(F.to_timestamp(F.concat(utc, F.lit("+00:00")))).alias("timestamp")))
+    ahead = F.concat((F.col("sent_at") + F.expr("INTERVAL 3 HOURS")).cast("string"), F.lit("+03:00"))
+    zoned = F.to_json(F.struct(*nested, ahead.alias("timestamp")))
+    form = F.col("message_id") % 3
+    return messages.select(F.when(form == 0, _wire_value()).when(form == 1, micros).otherwise(zoned).alias("value"))
+
+
 def latency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A latency record per event, from two engines."""
     return table(spark, sf_dir, "events").select(
