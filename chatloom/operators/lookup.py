@@ -22,7 +22,9 @@ _IS_WORD = rf"^{WORD_CHAR}"
 _KEY_END, _SLOT_END = "\x01", "\x02"
 
 #: Columns with these names are added for a while.
-PIECES, FOLDED, SEEN, FOUND, HITS = (f"_lookup_{name}" for name in ("pieces", "folded", "seen", "found", "hits"))
+PIECES, FOLDED, PRESENT, SEEN, FOUND, HITS = (
+    f"_lookup_{name}" for name in ("pieces", "folded", "present", "seen", "found", "hits")
+)
 
 
 class Table:
@@ -61,9 +63,12 @@ class Tables:
         self.lengths = [n for n, _ in counted if n > 1]
         ones, more = sum(k for n, k in counted if n == 1), sum(k for n, k in counted if n > 1)
         self.count = ones + more
-        self.words = Table(named.where("n = 1").select("key"), ones)
+        self.words = self.starts = Table(named.where("n = 1").select("key"), ones)
         if self.lengths:
             several = named.where("n > 1")
+            either = named.select(F.col("first").alias("key")).distinct()
+            #: Any piece that an entry starts with.
+            self.starts = Table(either, self.count)
             self.firsts = Table(several.select(F.col("first").alias("key")).distinct(), more)
             self.phrases = Table(several.select("key"), more)
 
@@ -81,15 +86,21 @@ def _ends(key: Column) -> Column:
 
 def with_hits(messages: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
     """Adds the pieces of each text, and its hits as (at, n): leftmost first, the longest at each place, no overlap."""
-    cut = messages.select("*", _pieces(F.col(text)).alias(PIECES), _pieces(fold(F.col(text))).alias(FOLDED))
+    cut = messages.select("*", _pieces(fold(F.col(text))).alias(FOLDED))
+    # Each different piece is looked up once; most texts have none that an entry starts with, and cost no more.
+    present = F.filter(F.array_distinct(FOLDED), lambda piece: tables.starts.holds(piece, is_piece=True))
+    asked = cut.select("*", present.alias(PRESENT))
     # 1 if a piece is an entry, and 2 more if longer entries start with it.
-    seen = F.transform(FOLDED, lambda piece: _first(tables, piece))
-    asked = cut.select("*", seen.alias(SEEN))
+    seen = F.transform(
+        FOLDED, lambda piece: F.when(F.array_contains(PRESENT, piece), _first(tables, piece)).otherwise(0)
+    )
+    some = F.size(PRESENT) > 0
+    asked = asked.select("*", F.when(some, seen).alias(SEEN), F.when(some, _pieces(F.col(text))).alias(PIECES))
     found = F.filter(
         F.transform(SEEN, lambda kinds, at: F.struct(at.alias("at"), _longest(tables, kinds, at).alias("n"))),
         lambda hit: hit["n"] > 0,
     )
-    marked = asked.select("*", F.when(F.exists(SEEN, lambda kinds: kinds > 0), found).alias(FOUND))
+    marked = asked.select("*", F.when(some, found).alias(FOUND))
     hits = _without_overlaps(tables.lengths[-1]) if tables.lengths else F.col(FOUND)
     return marked.select("*", hits.alias(HITS))
 
@@ -128,8 +139,9 @@ def _is_word(piece: Column) -> Column:
 
 
 def _first(tables: Tables, piece: Column) -> Column:
-    kinds = tables.words.holds(piece, is_piece=True).cast("int")
-    return kinds + 2 * tables.firsts.holds(piece, is_piece=True).cast("int") if tables.lengths else kinds
+    if not tables.lengths:
+        return F.lit(1)
+    return tables.words.holds(piece, is_piece=True).cast("int") + 2 * tables.firsts.holds(piece, is_piece=True).cast("int")
 
 
 def _longest(tables: Tables, kinds: Column, at: Column) -> Column:
