@@ -63,12 +63,9 @@ class Tables:
         self.lengths = [n for n, _ in counted if n > 1]
         ones, more = sum(k for n, k in counted if n == 1), sum(k for n, k in counted if n > 1)
         self.count = ones + more
-        self.words = self.starts = Table(named.where("n = 1").select("key"), ones)
+        self.words = Table(named.where("n = 1").select("key"), ones)
         if self.lengths:
             several = named.where("n > 1")
-            either = named.select(F.col("first").alias("key")).distinct()
-            #: Any piece that an entry starts with.
-            self.starts = Table(either, self.count)
             self.firsts = Table(several.select(F.col("first").alias("key")).distinct(), more)
             self.phrases = Table(several.select("key"), more)
 
@@ -88,11 +85,14 @@ def with_hits(messages: DataFrame, tables: Tables, text: str = "text") -> DataFr
     """Adds the pieces of each text, and its hits as (at, n): leftmost first, the longest at each place, no overlap."""
     cut = messages.select("*", _pieces(fold(F.col(text))).alias(FOLDED))
     # Each different piece is looked up once; most texts have none that an entry starts with, and cost no more.
-    present = F.filter(F.array_distinct(FOLDED), lambda piece: tables.starts.holds(piece, is_piece=True))
-    asked = cut.select("*", present.alias(PRESENT))
-    # 1 if a piece is an entry, and 2 more if longer entries start with it.
+    # The tables stand in the plan at this one place each: 1 if a piece is an entry, and 2 more if longer ones start with it.
+    named = F.transform(
+        F.array_distinct(FOLDED), lambda piece: F.struct(piece.alias("piece"), _first(tables, piece).alias("kinds"))
+    )
+    asked = cut.select("*", F.filter(named, lambda item: item["kinds"] > 0).alias(PRESENT))
     seen = F.transform(
-        FOLDED, lambda piece: F.when(F.array_contains(PRESENT, piece), _first(tables, piece)).otherwise(0)
+        FOLDED,
+        lambda piece: F.coalesce(F.get(F.filter(PRESENT, lambda item: item["piece"] == piece), F.lit(0))["kinds"], F.lit(0)),
     )
     some = F.size(PRESENT) > 0
     asked = asked.select("*", F.when(some, seen).alias(SEEN), F.when(some, _pieces(F.col(text))).alias(PIECES))
@@ -139,9 +139,8 @@ def _is_word(piece: Column) -> Column:
 
 
 def _first(tables: Tables, piece: Column) -> Column:
-    if not tables.lengths:
-        return F.lit(1)
-    return tables.words.holds(piece, is_piece=True).cast("int") + 2 * tables.firsts.holds(piece, is_piece=True).cast("int")
+    kinds = tables.words.holds(piece, is_piece=True).cast("int")
+    return kinds + 2 * tables.firsts.holds(piece, is_piece=True).cast("int") if tables.lengths else kinds
 
 
 def _longest(tables: Tables, kinds: Column, at: Column) -> Column:
