@@ -9,6 +9,12 @@ unique.
 
 Symbols are unsigned integers (bytes or code points). Symbols outside the vocabulary are tokens of
 their own (-1) that nothing merges with.
+
+Long words are cut into chunks that overlap, and the chunks are run together, each as if a word began
+there. What holds at a prefix depends on the text and on the last tokens of as many prefixes before it as
+the longest token has symbols. So once a chunk agrees with the states before it on that many prefixes in
+a row, it is right from there on. A chunk that never agrees (a period out of step) is run again from the
+states that are known; equal chunks with equal states before them are run once.
 """
 
 import heapq
@@ -20,6 +26,8 @@ from chatloom.llm.common import SortedKeys, mix64, ragged
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Symbols that are advanced together.
 CELLS = 1 << 16
+#: Chunks of a long word that are run together, and that are remembered.
+CHUNKS = 256
 
 
 def merge_word(symbols: tuple, ranks) -> list[tuple]:
@@ -52,17 +60,32 @@ def merge_word(symbols: tuple, ranks) -> list[tuple]:
     return [p for p in parts if p is not None]
 
 
+def _first_run(same: np.ndarray, size: int) -> int:
+    """How far the first ``size`` true values in a row reach; -1 if there are none."""
+    if len(same) < size:
+        return -1
+    wrong = np.concatenate(([0], np.cumsum(~same)))
+    found = np.flatnonzero(wrong[size:] == wrong[:-size])
+    return int(found[0]) + size if len(found) else -1
+
+
 class Lattice:
     """``tokens``: symbol tuples by ascending rank, single symbols first; ``pairs``: (left, right,
     joined) indices of every allowed merge; ``halves``: the two tokens that a token's last merge
-    joined (itself twice for a single symbol); ``ids``: what to return for each token."""
+    joined (itself twice for a single symbol); ``ids``: what to return for each token; ``ranks``: of each
+    token, where several may have the same, so that the leftmost merge comes first."""
 
-    def __init__(self, tokens: list[tuple], pairs: np.ndarray, halves: np.ndarray, ids: np.ndarray):
+    def __init__(
+        self, tokens: list[tuple], pairs: np.ndarray, halves: np.ndarray, ids: np.ndarray, ranks: np.ndarray | None = None
+    ):
         self.ids = ids
+        self.ranks = np.arange(len(tokens)) if ranks is None else ranks.astype(np.int64)
         self.left, self.right = halves[:, 0].astype(np.int64), halves[:, 1].astype(np.int64)
         self.seams = SortedKeys(self._seam(pairs[:, 0].astype(np.int64), pairs[:, 1].astype(np.int64)))
-        self.joined = pairs[:, 2].astype(np.int64)
+        self.joined = self.ranks[pairs[:, 2]]
         self.longest = max(map(len, tokens))
+        # New symbols of a chunk, and those it shares with the one before; a power of two keeps step with most periods.
+        self.stride = max(256, 1 << (2 * self.longest - 1).bit_length())
         self.powers = np.ones(self.longest + 1, np.uint64)
         self.powers[1:] = np.cumprod(np.full(self.longest, BASE))
         sizes = np.array([len(t) for t in tokens])
@@ -111,19 +134,27 @@ class Lattice:
             live, a, b, bound = live[more], a[more], b[more], bound[more]
             whole_a, whole_b = whole_a[more], whole_b[more]
             # The later merge has the greater rank; of equal ones the right one came later.
-            take_a = ~whole_a & (whole_b | (a > b))
-            bound = np.where(take_a, a, b + 1)
+            rank_a, rank_b = self.ranks[a], self.ranks[b]
+            take_a = ~whole_a & (whole_b | (rank_a > rank_b))
+            bound = np.where(take_a, rank_a, rank_b + 1)
             a, b = np.where(take_a, self.right[a], a), np.where(take_a, b, self.left[b])
         return out
 
-    def run(self, symbols: np.ndarray, counts_only: bool = False):
-        """``symbols``: words of one length, a row each. Tokens row by row and how many each row has."""
+    def _states(self, symbols: np.ndarray, lead: np.ndarray | None = None):
+        """For each prefix of each row its last token, where that starts, and the number of tokens.
+
+        ``lead``: the last tokens of the first prefixes, at least ``longest``, of rows that go on inside a word.
+        """
         n, size = symbols.shape
         prefix = self._prefix(symbols)
         last = np.full((n, size + 1), -1, np.int32)
         back = np.zeros((n, size + 1), np.int32)
         count = np.zeros((n, size + 1), np.int32)
-        for i in range(1, size + 1):
+        known_before = 0 if lead is None else lead.shape[1]
+        if known_before:
+            last[:, 1 : known_before + 1] = lead
+        row = np.arange(n)
+        for i in range(known_before + 1, size + 1):
             lengths = self.lengths[self.lengths <= i]
             if not len(lengths) or lengths[0] != 1:
                 lengths = np.concatenate(([1], lengths))
@@ -135,13 +166,18 @@ class Lattice:
             score = np.zeros(token.shape, np.int8)
             score[rows, cols] = self.fits(before, token[rows, cols])
             best = score.argmax(axis=1)
-            row = np.arange(n)
             # Without any fitting token the symbol is not in the vocabulary: column 0 is itself.
             known = score[row, best] > 0
             best = np.where(known, best, 0)
             last[:, i] = np.where(known, token[row, best], -1)
             back[:, i] = starts[best]
             count[:, i] = count[row, starts[best]] + 1
+        return last, back, count
+
+    def run(self, symbols: np.ndarray, counts_only: bool = False):
+        """``symbols``: words of one length, a row each. Tokens row by row and how many each row has."""
+        n, size = symbols.shape
+        last, back, count = self._states(symbols)
         total = count[:, size]
         if counts_only:
             return None, total
@@ -155,6 +191,48 @@ class Lattice:
             rows = rows[at[rows] > 0]
         return flat, total
 
+    def run_long(self, symbols: np.ndarray) -> np.ndarray:
+        """Tokens of one word of any length."""
+        n, stride, need = len(symbols), self.stride, self.longest
+        last, length = np.full(n + 1, -1, np.int32), np.zeros(n + 1, np.int32)
+        again: dict[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray]] = {}
+        firsts = np.arange(0, n, stride)
+        done = 0
+        for block in range(0, len(firsts), CHUNKS):
+            begins = firsts[block : block + CHUNKS]
+            # What is missing behind the end of the word is filled up and not read.
+            place = begins[:, None] + np.arange(2 * stride)
+            chunks, row = np.unique(symbols[np.minimum(place, n - 1)], axis=0, return_inverse=True)
+            fresh, back, _ = self._states(chunks)
+            taken = np.arange(2 * stride + 1) - back
+            for begin, k in zip(begins.tolist(), row.ravel().tolist()):
+                end = min(begin + 2 * stride, n)
+                if end == done:
+                    continue
+                states, sizes, right = fresh[k], taken[k], 0
+                if begin:
+                    same = states[1 : done - begin + 1] == last[begin + 1 : done + 1]
+                    right = _first_run(same, need)
+                    if right < 0:
+                        lead = last[done - need + 1 : done + 1]
+                        held = symbols[done - need : end]
+                        key = (held.tobytes(), lead.tobytes())
+                        if key not in again:
+                            if len(again) >= CHUNKS:
+                                again.clear()
+                            tokens, start, _ = self._states(held[None], lead[None])
+                            again[key] = tokens[0], np.arange(len(held) + 1) - start[0]
+                        states, sizes = again[key]
+                        begin, right = done - need, need
+                last[begin + right + 1 : end + 1] = states[right + 1 : end - begin + 1]
+                length[begin + right + 1 : end + 1] = sizes[right + 1 : end - begin + 1]
+                done = end
+        steps, ends, at = length.tolist(), [], n
+        while at:
+            ends.append(at)
+            at -= steps[at]
+        return last[ends[::-1]].astype(np.int64)
+
     def encode(self, symbols: np.ndarray, offsets: np.ndarray, counts_only: bool = False):
         """Tokens (indices, -1: no token) of each run of ``symbols`` and their offsets."""
         sizes = np.diff(offsets)
@@ -164,6 +242,13 @@ class Lattice:
         parts = []
         for lo, hi in zip(edges, [*edges[1:], len(order)]):
             size = int(sizes[order[lo]])
+            if size > 4 * self.stride:
+                for row in order[lo:hi]:
+                    flat = self.run_long(symbols[offsets[row] : offsets[row + 1]])
+                    counts[row] = len(flat)
+                    if not counts_only:
+                        parts.append((np.array([row]), flat))
+                continue
             step = max(1, CELLS // size)
             for at in range(lo, hi, step):
                 rows = order[at : min(at + step, hi)]

@@ -76,7 +76,9 @@ class Pieces:
             for c in range(1, len(s))
             if s[:c] in at and s[c:] in at
         ]
-        self.lattice = Lattice(tokens, np.array(pairs), np.array(halves), np.array([p[1] for p in kept]))
+        # Pieces given to the model by hand, such as its runs of spaces, share one score.
+        ranks = np.unique([p[0] for p in kept], return_inverse=True)[1]
+        self.lattice = Lattice(tokens, np.array(pairs), np.array(halves), np.array([p[1] for p in kept]), ranks)
         # Where no piece holds two symbols side by side, long words can be cut.
         inside = {a << 32 | b for s in tokens for a, b in zip(s, s[1:])}
         self.inside = np.array(sorted(inside), np.uint64)
@@ -172,9 +174,9 @@ class Pieces:
         start = np.maximum(before + 1, bounds[row[at]])
         spaces = at - start + 1
         names = coded.dictionary.to_pylist()
-        code = index[at] << 24 | np.minimum(spaces, (1 << 24) - 1)
-        unique, back = np.unique(code, return_inverse=True)
-        words = [SPACE * int(c & ((1 << 24) - 1)) + names[c >> 24] for c in unique.tolist()]
+        widths, width = np.unique(spaces, return_inverse=True)
+        unique, back = np.unique(index[at] * len(widths) + width, return_inverse=True)
+        words = [SPACE * int(widths[c % len(widths)]) + names[c // len(widths)] for c in unique.tolist()]
         ids, offsets = self.known_words(words)
         counts = np.diff(offsets)[back]
         flat = ids[ragged(offsets[:-1][back], counts)]

@@ -57,6 +57,38 @@ def test_counts_are_those_of_the_library(texts):
     assert n_bytes.tolist() == [len((t or "").encode()) for t in texts]
 
 
+def long_texts():
+    """Words over the length from which they are cut into chunks, and runs of spaces of every length."""
+    rng = random.Random(5)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6000))
+    runs = "".join(rng.choice("ab") * rng.randint(1, 1500) for _ in range(12))
+    spaces = ["x" + " " * n + "y" for n in [*range(1, 70), 1023, 1025, 5001]]
+    return ["a" * 5000, "a" * 4999 + " b", "abc" * 1700, letters, runs, "=" * 2500 + "-" * 2500, "é日" * 1500, " " * 3000, "x\u0001" * 1500, *spaces]
+
+
+def test_long_words_and_runs_of_spaces_as_the_libraries_have_them():
+    texts = long_texts()
+    pieces = op8.pieces(op8.model_path())
+    ids, offsets = pieces.encode(pa.array(texts))
+    want = sentencepiece.SentencePieceProcessor(model_file=op8.model_path()).encode(texts)
+    for k, text in enumerate(texts):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == want[k], text[:20]
+    assert pieces.decode(ids, offsets).to_pylist() == texts
+    path = public_tokenizers.path(op9.VOCABULARY)
+    encoded = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert op9.machine(path).counts(pa.array(texts))[1].tolist() == [len(e.ids) for e in encoded]
+
+
+def test_chunks_of_a_long_word_equal_one_run():
+    """Around every border of chunks, and with the chunks dealt in blocks."""
+    lattice = op9.machine(public_tokenizers.path(op9.VOCABULARY)).lattice
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 255, 256, 257, 511, 512, 513, 1100):
+        for letters in (b"a", b"ab", b"etaoinshr"):
+            word = np.frombuffer(letters, np.uint8)[rng.integers(0, len(letters), n)]
+            assert lattice.run_long(word).tolist() == lattice.run(word[None])[0].tolist()
+
+
 def test_scan_equals_stepping():
     rng = np.random.default_rng(1)
     to, _ = op9.splitting_machine()
