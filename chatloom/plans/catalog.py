@@ -14,17 +14,20 @@ from ..operators import (
     format_messages,
     latency_summary,
     load_rate,
+    load_steps,
     quarantine_messages,
     stamp_latency,
     top_channels,
     top_counted,
     top_keys,
     top_users,
+    with_steps,
 )
 from ..operators.rules import format_by_rules, parse_by_rules
 from ..schema import MESSAGE_COLUMNS
 from ..session import scratch_dir
 from ..sources import dataset_prefix, dataset_prefixes, read_messages, subscribe_changes, subscribe_channels
+from ..streaming.commits import commit_latency, read_commits
 from ..streaming.counts import fold_counts, read_counts, store_counts
 from ..streaming.jobs import censor_job, format_job
 from ..streaming.layout import compact_messages, store_batch
@@ -46,6 +49,8 @@ AVAILABLE_NOW = {"availableNow": True}
 # takes the same share of whatever table it is given.
 SMALLEST_RUN, LARGEST_RUN = 34_650, 237_531
 
+HALF_HOUR_MS = 1_800_000
+
 
 def _count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_messages(views.chat_headers(spark, sf_dir))
@@ -205,6 +210,21 @@ def _load_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_rate(views.latency_log(spark, sf_dir), ["task"], unit_s=3600)
 
 
+def _load_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Half an hour without a record ends a step.
+    return load_steps(views.latency_log(spark, sf_dir), ["task"], HALF_HOUR_MS, unit_s=3600)
+
+
+def _latency_by_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stepped = with_steps(views.latency_log(spark, sf_dir), ["task"], HALF_HOUR_MS, unit_s=3600)
+    return latency_summary(stepped, ["task", "step", "load"])
+
+
+def _latency_to_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    through = commit_latency(views.hourly_records(spark, sf_dir), views.hourly_commits(spark, sf_dir))
+    return latency_summary(through, ["task"], F.col("total_ms") * 1000)
+
+
 def _compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = views.latency_log(spark, sf_dir)
     return compare_runs(log, ["task"], "engine", "a", "b", "latency_us")
@@ -292,6 +312,30 @@ def _job_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _job_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per task: messages stored by the formatting job, and how many were through after they were stamped."""
+    folder = scratch_dir(spark, "job-commits")
+    format_job(
+        views.raw(views.chat_stream(spark, sf_dir)),
+        f"{folder}/messages",
+        f"{folder}/checkpoint",
+        f"{folder}/quarantine",
+        latency=f"{folder}/latency",
+        commits=f"{folder}/commits",
+        trigger=AVAILABLE_NOW,
+    ).awaitTermination()
+    through = commit_latency(read_latency(spark, f"{folder}/latency"), read_commits(spark, f"{folder}/commits"))
+    stored = read_messages(spark, f"{folder}/messages").select("message_id")
+    return (
+        stored.join(through, "message_id", "left")
+        .groupBy("task")
+        .agg(
+            F.count(F.lit(1)).alias("n_messages"),
+            F.count_if(F.col("total_ms") >= F.col("latency_ms")).alias("n_through"),
+        )
+    )
+
+
 def _job_subscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "job-subscribe")
     format_job(
@@ -349,6 +393,9 @@ QUERIES: dict[str, Query] = {
     "dataset_prefixes_of_repeats": _prefixes_of_repeats,
     "latency_summary": _latency_summary,
     "load_rate": _load_rate,
+    "load_steps": _load_steps,
+    "latency_by_step": _latency_by_step,
+    "latency_to_commit": _latency_to_commit,
     "compare_runs": _compare_runs,
     "sql_count_messages": _sql("count_messages", views.chat_headers),
     "sql_top_channels": _sql("top_channels", views.chat_headers),
@@ -367,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "stream_latency_table": _stream_latency_table,
     "job_format": _job_format,
     "job_latency": _job_latency,
+    "job_commits": _job_commits,
     "job_subscribe": _job_subscribe,
 }
 
@@ -417,6 +465,19 @@ _CHANGES_SQL = _CHAT.replace("%", "%%") + """, changes AS (
 SELECT c.message_id, c.sent_at, c.user_id, c.channel_id, %s AS text
 FROM chat c ASOF JOIN changes l ON c.channel_id = l.channel_id AND c.sent_at >= l.changed_at WHERE l.wanted"""
 
+_STEPS_SQL = _CHAT + """, begun AS (
+    SELECT *, coalesce(epoch_us(arrived_at) - epoch_us(lag(arrived_at) OVER w) > 1800000000, true) AS first
+    FROM latency_log WHERE arrived_at IS NOT NULL WINDOW w AS (PARTITION BY task ORDER BY arrived_at)
+), stepped AS (
+    SELECT *, CAST(count(*) FILTER (first) OVER (PARTITION BY task ORDER BY arrived_at) AS BIGINT) AS step FROM begun
+), steps AS (
+    SELECT task, step, min(arrived_at) AS started_at, max(arrived_at) AS ended_at, count(*) AS n,
+           round(count(*) * 3600.0::DOUBLE * 1000000
+                 / nullif(epoch_us(max(arrived_at)) - epoch_us(min(arrived_at)), 0), 6) AS rate
+    FROM stepped GROUP BY ALL
+)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "count_messages": _COUNT_SQL,
     "top_channels": _TOP_CHANNELS_SQL,
@@ -465,6 +526,20 @@ FROM latency_log GROUP BY task""",
 SELECT task, round(count(*) * 3600.0::DOUBLE * 1000000
                    / nullif(epoch_us(max(arrived_at)) - epoch_us(min(arrived_at)), 0), 6) AS rate
 FROM latency_log GROUP BY task""",
+    "load_steps": f"{_STEPS_SQL} FROM steps",
+    "latency_by_step": f"""{_STEPS_SQL}
+SELECT task, step, CAST(round(rate) AS BIGINT) AS load, count(latency_us) AS n,
+       round(avg(latency_us) / 1000, 3) AS mean_ms, round(stddev_samp(latency_us) / 1000, 3) AS std_ms,
+       max(latency_us) / 1000 AS max_ms
+FROM stepped JOIN steps USING (task, step) GROUP BY ALL""",
+    "latency_to_commit": f"""{_CHAT}, through AS (
+    SELECT task, (epoch_us(max(arrived_at) OVER (PARTITION BY date_trunc('hour', arrived_at))) + 250000) // 1000
+           - epoch_us(arrived_at) // 1000 AS ms
+    FROM latency_log
+)
+SELECT task, count(ms) AS n, round(avg(ms), 3) AS mean_ms, round(stddev_samp(ms), 3) AS std_ms,
+       CAST(max(ms) AS DOUBLE) AS max_ms
+FROM through GROUP BY task""",
     "compare_runs": f"""{_CHAT}, means AS (
     SELECT task, avg(latency_us) FILTER (engine = 'a') AS a,
            avg(latency_us) FILTER (engine = 'b') AS b
@@ -496,6 +571,7 @@ FROM (SELECT *, CAST(round(value * 1000) AS BIGINT) // 1000 AS ms FROM events) G
     "job_format": _FORMAT_SQL,
     "job_subscribe": f"""{_CHAT}
 SELECT {_MESSAGE}, trim(text) AS text FROM chat WHERE channel_id IN (0, 1)""",
+    "job_commits": f"{_CHAT} SELECT 'format' AS task, count(*) AS n_messages, count(*) AS n_through FROM chat",
     "job_latency": f"""{_CHAT}
 SELECT 'censor' AS task, count(*) AS n_messages, count(*) AS n_measured FROM chat""",
 }

@@ -114,6 +114,18 @@ def latency_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hourly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latency records, named as if the events of each hour were a batch."""
+    hour = F.date_format("arrived_at", "yyyyMMddHH")
+    return latency_records(spark, sf_dir).withColumn("record", F.concat_ws("-", F.lit("run"), hour, "message_id"))
+
+
+def hourly_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch log in which each hour is through 250 ms after its last event."""
+    hours = hourly_records(spark, sf_dir).groupBy(F.regexp_extract("record", r"^(run-\d+)-", 1).alias("batch"))
+    return hours.agg((F.max("arrived_at") + F.expr("INTERVAL 0.25 SECONDS")).alias("committed_at"))
+
+
 def long_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lexicon, all pairs of its words as phrases, and an entry per document that no text holds."""
     words = spark.createDataFrame([(word,) for word in LEXICON], "word string")

@@ -1,3 +1,4 @@
+from .commits import commit_latency, read_commits
 from .counts import fold_counts, read_counts, store_counts
 from .jobs import censor_job, format_job, run_job
 from .latency import (
@@ -16,6 +17,7 @@ from .sinks import read_latency, write_latency_stream, write_messages_stream
 __all__ = [
     "batch_durations",
     "censor_job",
+    "commit_latency",
     "compact_messages",
     "finish_compaction",
     "fold_counts",
@@ -24,6 +26,7 @@ __all__ = [
     "latency_totals",
     "log_batches",
     "publish_latency",
+    "read_commits",
     "read_counts",
     "read_latency",
     "read_latency_stream",
