@@ -16,6 +16,7 @@ null id is a row that links like others and is never a component's least id unle
 repeat an id are separate rows. Labels and other columns are ignored.
 """
 
+import functools
 import itertools
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import mix64, table
+from chatloom.llm.common import mix64, ragged, table
 from chatloom.llm.components import components
 from chatloom.session import materialize
 
@@ -34,6 +35,9 @@ SCALE = 1.5
 PROBES = 6
 #: Members of a group of a cell; pairs of groups are compared at once.
 GROUP = 256
+#: Rows of cells that a task compares at once, and numbers held at once while it does.
+RUN_ROWS = 8_192
+CELLS = 1 << 20
 SEED = 7
 
 
@@ -77,25 +81,35 @@ def _cell_codes(cells: np.ndarray, number: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def codes(units: np.ndarray, tables: int = TABLES, scale: float = SCALE, probes: int = PROBES, seed: int = SEED) -> np.ndarray:
-    """For each unit vector the names of its cells: (rows, tables, 1 + probes), its own first."""
+@functools.lru_cache(8)
+def planes(size: int, tables: int, scale: float, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each table the projection of vectors of one length, and the shift of the lattice."""
     rng = np.random.default_rng(seed)
-    out = np.empty((len(units), tables, 1 + probes), np.int64)
-    for t in range(tables):
-        plane = rng.standard_normal((units.shape[1], 8)) * scale
-        moved = units @ plane + rng.uniform(0, 1, 8)
-        cell = decode(moved)
-        # Vectors of different lengths never share a cell.
-        number = t + (units.shape[1] << 20)
-        out[:, t, 0] = _cell_codes(cell, number)
-        if probes:
-            toward = (moved - cell) @ ROOTS.T
-            best = np.argpartition(-toward, probes - 1, axis=1)[:, :probes]
-            for k in range(probes):
-                out[:, t, 1 + k] = _cell_codes(cell + ROOTS[best[:, k]], number)
+    return [(rng.standard_normal((size, 8)) * scale, rng.uniform(0, 1, 8)) for _ in range(tables)]
+
+
+def table_codes(units: np.ndarray, t: int, tables: int = TABLES, scale: float = SCALE, probes: int = PROBES, seed: int = SEED) -> np.ndarray:
+    """For each unit vector the names of its cells in table ``t``: (rows, 1 + probes), its own first."""
+    plane, shift = planes(units.shape[1], tables, scale, seed)[t]
+    out = np.empty((len(units), 1 + probes), np.int64)
+    moved = units @ plane + shift
+    cell = decode(moved)
+    # Vectors of different lengths never share a cell.
+    number = t + (units.shape[1] << 20)
+    out[:, 0] = _cell_codes(cell, number)
+    if probes:
+        toward = (moved - cell) @ ROOTS.T
+        best = np.argpartition(-toward, probes - 1, axis=1)[:, :probes]
+        for k in range(probes):
+            out[:, 1 + k] = _cell_codes(cell + ROOTS[best[:, k]], number)
     return out
 
 
+def codes(units: np.ndarray, tables: int = TABLES, **how) -> np.ndarray:
+    """The cells in every table: (rows, tables, 1 + probes)."""
+    return np.stack([table_codes(units, t, tables, **how) for t in range(tables)], axis=1)
+
+
 def _unit(vectors: pa.Array) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     rows = flat.reshape(len(vectors), -1)
@@ -130,65 +144,105 @@ def _by_length(batch: pa.RecordBatch, most: int):
             yield batch.take(pa.array(places[at : at + most]))
 
 
-def first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The one code at which each pair (rows of two code arrays) is counted: in the first table where either
-    probes the other's own cell, the lesser of such cells."""
-    at_a = (a[:, :, :1] == b).any(axis=2)
-    at_b = (b[:, :, :1] == a).any(axis=2)
-    top = np.iinfo(np.int64).max
-    code = np.minimum(np.where(at_a, a[:, :, 0], top), np.where(at_b, b[:, :, 0], top))
-    table_no = (at_a | at_b).argmax(axis=1)
-    return code[np.arange(len(a)), table_no]
-
-
-def compare(units, own, group, weights, code, i, j, min_cosine, how):
-    """Links among the members of one pair of groups: the weight that each member is linked to (pairs counted
-    here only), and for each member the least member that it reaches (places)."""
-    links, root = np.zeros(len(units), np.int64), np.arange(len(units))
-    left = np.flatnonzero(group == i)
-    right = left if i == j else np.flatnonzero(group == j)
-    pairs = []
-    for at in range(0, len(left), 512):
-        part = left[at : at + 512]
-        near = (units[part] @ units[right].T >= min_cosine) & (own[part][:, None] | own[right][None, :])
-        a, b = np.nonzero(near)
-        pairs.append(np.stack([part[a], right[b]]))
-    a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-    if i == j:
-        a, b = a[a < b], b[a < b]
-    if not len(a):
-        return links, root
-    used, place = np.unique(np.concatenate((a, b)), return_inverse=True)
-    cells, (pa_, pb_) = codes(units[used], **how), place.reshape(2, -1)
-    for at in range(0, len(a), 10_000):
-        part = slice(at, at + 10_000)
-        here = first_meeting(cells[pa_[part]], cells[pb_[part]]) == code
-        np.add.at(links, a[part][here], weights[b[part][here]])
-        np.add.at(links, b[part][here], weights[a[part][here]])
+def first_meeting(units, a, b, code, tables: int = TABLES, **how) -> np.ndarray:
+    """Whether each pair (rows ``a`` and ``b`` of ``units``) is counted at its ``code``: in the first table where either
+    probes the other's own cell, at the lesser of such cells. Cells of later tables are only found for pairs that
+    have not met yet."""
+    here, left, top = np.zeros(len(a), bool), np.arange(len(a)), np.iinfo(np.int64).max
+    for t in range(tables):
+        if not len(left):
+            break
+        used, place = np.unique(np.concatenate((a[left], b[left])), return_inverse=True)
+        cells, (x, y) = table_codes(units[used], t, tables, **how), place.reshape(2, -1)
+        own = cells[:, 0]
+        at_a, at_b = np.zeros(len(left), bool), np.zeros(len(left), bool)
+        for k in range(cells.shape[1]):
+            at_a |= own[x] == cells[y, k]
+            at_b |= own[y] == cells[x, k]
+        met = at_a | at_b
+        first = np.minimum(np.where(at_a, own[x], top), np.where(at_b, own[y], top))
+        here[left[met]] = first[met] == code[left[met]]
+        left = left[~met]
+    return here
+
+
+def near_pairs(units, own, group, alone, edges, min_cosine):
+    """Pairs of rows, the first before the second, of the same run between ``edges`` with this cosine, one of them in its
+    own cell, and of different groups unless the run is one group (``alone``). Runs of one size are compared together."""
+    sizes, out = np.diff(edges), []
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        starts = edges[:-1][sizes == size]
+        a, b = np.triu_indices(size, 1)
+        step = max(1, CELLS // size**2)
+        for at in range(0, len(starts), step):
+            rows = starts[at : at + step, None] + np.arange(size)
+            part = units[rows]
+            cosines = (part @ part.transpose(0, 2, 1))[:, a, b]
+            run, pair = np.nonzero(cosines >= min_cosine)
+            x, y = rows[run, a[pair]], rows[run, b[pair]]
+            fits = (own[x] | own[y]) & (alone[x] | (group[x] != group[y]))
+            out.append(np.stack([x[fits], y[fits]]))
+    return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+
+
+def least_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` places the least that it reaches by the links ``a, b``."""
+    root = np.arange(n)
     while True:
         before = root.copy()
         np.minimum.at(root, a, root[b])
         np.minimum.at(root, b, root[a])
         root = root[root]
         if (root == before).all():
-            return links, root
-
+            return root
+
+
+def compare(part: pa.Table, edges, min_cosine, how):
+    """Links among the members of whole pairs of groups, whose rows lie between ``edges``: classes, the weight that
+    each is linked to (pairs counted here only), and the least class here that each reaches."""
+    own, group, code = (part.column(k).to_numpy() for k in ("own", "group", "code"))
+    alone = part.column("i").to_numpy() == part.column("j").to_numpy()
+    units = _unit(part.column("vector").combine_chunks())
+    a, b = near_pairs(units, own, group, alone, edges, min_cosine)
+    # A class can be in several of the cells.
+    cls, first, place = np.unique(part.column("cls").to_numpy(), return_index=True, return_inverse=True)
+    weights, units = part.column("times").to_numpy()[first], units[first]
+    counts, x, y = np.zeros(len(cls), np.int64), place[a], place[b]
+    for at in range(0, len(a), CELLS):
+        to = slice(at, at + CELLS)
+        here = np.flatnonzero(first_meeting(units, x[to], y[to], code[a[to]], **how)) + at
+        np.add.at(counts, x[here], weights[y[here]])
+        np.add.at(counts, y[here], weights[x[here]])
+    root = least_reached(len(cls), x, y)
+    kept = np.flatnonzero((counts > 0) | (root != np.arange(len(root))))
+    return cls[kept], counts[kept], cls[root[kept]]
+
+
+def _whole_runs(batches, keys, rows: int):
+    """Parts of about ``rows`` rows of sorted input that cut no run of equal ``keys``, and the edges of their runs."""
+    held, n = [], 0
+
+    def take(last):
+        part = pa.Table.from_batches(held).combine_chunks()
+        keyed = np.stack([part.column(k).to_numpy() for k in keys])
+        edges = np.concatenate(([0], np.flatnonzero((keyed[:, 1:] != keyed[:, :-1]).any(axis=0)) + 1, [len(part)]))
+        # The last run may go on in the next batch.
+        if not last:
+            edges = edges[:-1]
+        return part, edges
 
-def _groups(batches, keys):
-    """Whole groups of rows that are sorted by ``keys``."""
-    held = None
     for batch in batches:
-        rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
-        if not len(rows):
-            continue
-        stacked = np.stack([rows.column(k).to_numpy() for k in keys])
-        new = np.flatnonzero((stacked[:, 1:] != stacked[:, :-1]).any(axis=0)) + 1
-        edges = [0, *new.tolist()]
-        for lo, hi in zip(edges, edges[1:]):
-            yield rows.slice(lo, hi - lo)
-        held = rows.slice(edges[-1])
-    if held is not None and len(held):
-        yield held
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            part, edges = take(False)
+            if edges[-1]:
+                yield part.slice(0, edges[-1]), edges
+            held = part.slice(edges[-1]).to_batches()
+            n = len(part) - int(edges[-1])
+    if n:
+        yield take(True)
 
 
 def links(classes: DataFrame, min_cosine: float, group: int, **how) -> DataFrame:
@@ -206,21 +260,16 @@ def links(classes: DataFrame, min_cosine: float, group: int, **how) -> DataFrame
     rows = live.join(classes.select("cls", "vector", "times"), "cls")
 
     def work(batches):
-        for rows in _groups(batches, ["code", "i", "j"]):
-            rows = rows.combine_chunks()
-            cls = rows.column("cls").to_numpy()
-            code, i, j = (rows.column(k)[0].as_py() for k in ("code", "i", "j"))
-            found, root = compare(
-                _unit(rows.column("vector").chunk(0)),
-                rows.column("own").to_numpy(),
-                rows.column("group").to_numpy(),
-                rows.column("times").to_numpy(),
-                code, i, j, min_cosine, how,
-            )
-            kept = np.flatnonzero((found > 0) | (root != np.arange(len(root))))
-            if len(kept):
-                columns = [pa.array(cls[kept]), pa.array(found[kept]), pa.array(cls[root[kept]])]
-                yield pa.RecordBatch.from_arrays(columns, names=["cls", "links", "root"])
+        for part, edges in _whole_runs(batches, ["code", "i", "j"], RUN_ROWS):
+            lengths = np.diff(part.column("vector").combine_chunks().offsets.to_numpy())
+            # A cell's vectors have one length.
+            for length in np.unique(lengths[edges[:-1]]):
+                chosen = np.flatnonzero(lengths[edges[:-1]] == length)
+                sizes = np.diff(edges)[chosen]
+                rows = ragged(edges[chosen], sizes)
+                alike = part if len(rows) == len(part) else part.take(pa.array(rows))
+                columns = map(pa.array, compare(alike, np.append(0, np.cumsum(sizes)), min_cosine, how))
+                yield pa.RecordBatch.from_arrays([*columns], names=["cls", "links", "root"])
 
     dealt = rows.repartition("code", "i", "j").sortWithinPartitions("code", "i", "j")
     return dealt.mapInArrow(work, "cls long, links long, root long")
