@@ -1,9 +1,10 @@
 """Near-duplicate embeddings by lattice hashing.
 
-Unit vectors are projected at random to eight dimensions, several times (tables), and each projection is decoded
-to the nearest point of the E8 lattice, whose cell is the vector's bucket. A vector also probes the neighbouring
-cells that its projection lies closest to, so pairs near a border still meet. Pairs that meet are verified by their
-cosine in double precision.
+Unit vectors are projected at random to blocks of eight dimensions, several times (tables), and each block is decoded
+to the nearest point of the E8 lattice; a vector's cell in a table is that of all its blocks. A vector also probes the
+neighbouring cells that its projection lies closest to, each with one block moved, so pairs near a border still meet.
+Pairs that meet are verified by their cosine in double precision. Three blocks with wide cells keep near vectors
+together as one block with narrow cells does, and far fewer that are not near.
 
 Equal vectors are one class with a multiplicity. Members of a cell come to one task as blocks: a
 cell of many members is cut into groups, and every pair of groups is a task of its own, so no task's size follows
@@ -29,10 +30,11 @@ from chatloom.llm.components import components
 from chatloom.session import materialize
 
 MIN_COSINE = 0.95
-TABLES = 12
-SCALE = 1.5
+TABLES = 11
+BLOCKS = 3
+SCALE = 0.6
 #: Neighbouring cells that a vector probes in each table.
-PROBES = 6
+PROBES = 10
 #: Members of a group of a cell; pairs of groups are compared at once.
 GROUP = 256
 #: Rows of cells that a task compares at once, and numbers held at once while it does.
@@ -73,36 +75,39 @@ def decode(points: np.ndarray) -> np.ndarray:
     return np.where(closer[:, None], half, whole)
 
 
-def _cell_codes(cells: np.ndarray, number: int) -> np.ndarray:
-    """A 64-bit name of each cell (rows of eight doubled coordinates) in a table, which may be one of a length of vectors."""
-    out = np.full(len(cells), number + 1, np.uint64)
-    for k in range(cells.shape[1]):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + (2 * cells[:, k]).astype(np.int64).view(np.uint64))
-    return out.view(np.int64)
+def _point_codes(points: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each lattice point (rows of eight coordinates) in its block."""
+    out = block.astype(np.uint64) + np.uint64(1)
+    for k in range(8):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + (2 * points[:, k]).astype(np.int64).view(np.uint64))
+    return out
 
 
 @functools.lru_cache(8)
-def planes(size: int, tables: int, scale: float, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def planes(size: int, tables: int, blocks: int, scale: float, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each table the projection of vectors of one length, and the shift of the lattice."""
     rng = np.random.default_rng(seed)
-    return [(rng.standard_normal((size, 8)) * scale, rng.uniform(0, 1, 8)) for _ in range(tables)]
+    return [(rng.standard_normal((size, 8 * blocks)) * scale, rng.uniform(0, 1, 8 * blocks)) for _ in range(tables)]
 
 
-def table_codes(units: np.ndarray, t: int, tables: int = TABLES, scale: float = SCALE, probes: int = PROBES, seed: int = SEED) -> np.ndarray:
+def table_codes(units: np.ndarray, t: int, tables: int = TABLES, blocks: int = BLOCKS, scale: float = SCALE, probes: int = PROBES, seed: int = SEED) -> np.ndarray:
     """For each unit vector the names of its cells in table ``t``: (rows, 1 + probes), its own first."""
-    plane, shift = planes(units.shape[1], tables, scale, seed)[t]
-    out = np.empty((len(units), 1 + probes), np.int64)
-    moved = units @ plane + shift
-    cell = decode(moved)
+    plane, shift = planes(units.shape[1], tables, blocks, scale, seed)[t]
+    moved = (units @ plane + shift).reshape(-1, 8)
+    points, block = decode(moved), np.tile(np.arange(blocks), len(units))
+    names = _point_codes(points, block)
     # Vectors of different lengths never share a cell.
-    number = t + (units.shape[1] << 20)
-    out[:, 0] = _cell_codes(cell, number)
+    total = names.reshape(-1, blocks).sum(axis=1) + mix64(np.array([t + (units.shape[1] << 20)], np.uint64))
+    out = np.empty((len(units), 1 + probes), np.uint64)
+    out[:, 0] = total
     if probes:
-        toward = (moved - cell) @ ROOTS.T
+        toward = ((moved - points) @ ROOTS.T).reshape(len(units), -1)
         best = np.argpartition(-toward, probes - 1, axis=1)[:, :probes]
         for k in range(probes):
-            out[:, 1 + k] = _cell_codes(cell + ROOTS[best[:, k]], number)
-    return out
+            at = np.arange(len(units)) * blocks + best[:, k] // len(ROOTS)
+            beside = points[at] + ROOTS[best[:, k] % len(ROOTS)]
+            out[:, 1 + k] = total - names[at] + _point_codes(beside, block[at])
+    return mix64(out).view(np.int64)
 
 
 def codes(units: np.ndarray, tables: int = TABLES, **how) -> np.ndarray:
@@ -284,6 +289,7 @@ def near_duplicates(
     tables: int = TABLES,
     scale: float = SCALE,
     probes: int = PROBES,
+    blocks: int = BLOCKS,
 ) -> DataFrame:
     """Per row: ``id, n_links, component``."""
     given = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -296,7 +302,7 @@ def near_duplicates(
     classes = given.where("vector is not null").groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("times"))
     # Numbers are fixed by being stored.
     classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    found = materialize(links(classes, min_cosine, group, tables=tables, scale=scale, probes=probes), "links")
+    found = materialize(links(classes, min_cosine, group, tables=tables, blocks=blocks, scale=scale, probes=probes), "links")
     counted = found.groupBy("cls").agg(F.sum("links").alias("links"))
     reached = components(found, "cls", "root").select(F.col("node").alias("cls"), F.col("component").alias("root"))
     labels = classes.join(reached, "cls", "left").withColumn("root", F.coalesce("root", "cls"))

@@ -215,3 +215,36 @@ def test_recall_at_the_threshold():
     assert met.mean() >= 0.9
 
 
+def test_strangers_seldom_meet():
+    rng = np.random.default_rng(8)
+    units = rng.standard_normal((4_000, 64))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    cells = op7.codes(units)
+    assert cells.shape == (4_000, op7.TABLES, 1 + op7.PROBES)
+    assert all(len(set(row)) == row.size for row in cells.reshape(4_000, -1)[:50])
+    own = cells[:, :, 0]
+    meetings = sum(len(units) - len(np.unique(own[:, t])) for t in range(op7.TABLES))
+    # One block of narrow cells has about 150 here.
+    assert meetings <= 5
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 4])
+def test_a_pair_is_counted_where_it_first_meets(blocks):
+    rng = np.random.default_rng(blocks)
+    a = rng.standard_normal((40, 12))
+    units = np.concatenate([a + 0.02 * rng.standard_normal(a.shape) for _ in range(3)])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    how = {"tables": 6, "blocks": blocks, "scale": 1.2, "probes": 5}
+    cells = op7.codes(units, **how)
+    x, y = np.triu_indices(len(units), 1)
+    seen = 0
+    for i, j in zip(x, y):
+        spots = [c for t in range(6) for c in set(cells[i, t]) & set(cells[j, t]) if c in (cells[i, t, 0], cells[j, t, 0])]
+        if spots:
+            code = np.array(spots)
+            here = op7.first_meeting(units, np.full(len(code), i), np.full(len(code), j), code, **how)
+            assert here.sum() == 1
+            seen += 1
+    assert seen >= 40
+
+
