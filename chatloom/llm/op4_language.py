@@ -3,7 +3,13 @@
 Each language has a probability for every piece of a fixed public vocabulary. The probability of a word is
 the sum over all ways to cut it into pieces (forward algorithm); a text's is the product over its words.
 Piece probabilities are learned by expectation maximisation: the forward and backward sums of a word give
-the expected number of times that it uses each piece. Words are cut at white space and start with U+2581; one of over 32 characters counts as several.
+the expected number of times that it uses each piece. Words are cut at white space and start with U+2581.
+
+No segmentation is left out, however long a word is. Sums are kept near 1 by scales that are added up as logarithms. A word
+of over 512 characters is summed in chunks that advance together, each from some way before its start; there the sums of
+the last characters, up to a factor, must be those that the chunk before ended with, or the chunk is summed again from
+these. When pieces are learned, the uses in a chunk are counted with 256 characters of
+text on both sides, of which what lies further off is independent but for words that repeat one or two letters.
 
 Only the words of a bounded sample of labelled rows are learned from (``max_train``, those with the
 smallest hashed ids), and Spark sums their counts by language; prediction reads every whole text. Each
@@ -15,6 +21,7 @@ separate rows. Columns other than the id and the text (to learn: and the languag
 """
 
 import functools
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,10 +42,14 @@ ROUNDS = 3
 SMOOTHING = 200.0
 CELLS = 1 << 16
 MEMO = 500_000
-#: A longer word is scored as several, and no piece is less likely than FLOOR: so the sums stay within
-#: double precision.
-MAX_WORD = 32
+#: No piece is less likely, and sums are scaled every so many characters: so they stay within double precision for pieces
+#: of up to 30 characters.
 FLOOR = 1e-9
+EVERY = 16
+#: Longer words are summed in chunks, which start this many characters early.
+LONG, CHUNK, EARLY, AROUND = 512, 256, 96, 256
+#: Sums of two chunks agree up to this part.
+AGREE = 1e-10
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
 HAS_LETTER = r"\p{L}"
@@ -84,55 +95,128 @@ class Segmenter:
         piece[:, 0] = np.where(piece[:, 0] < 0, self.n - 1, piece[:, 0])
         return i - lengths, piece
 
-    def forward(self, points, chances):
-        """Sums over the segmentations of each prefix of words of one length, under each language (columns
-        of ``chances``, one row per piece), and the pieces found."""
+    def forward(self, points, chances, given=None, mark=None):
+        """Sums over the segmentations of each prefix of words of one length, under each language (columns of
+        ``chances``, one row per piece). ``given`` are the sums of the first prefixes, if words go on from there.
+
+        Returns the sums (scaled), the pieces found, the logarithm of the scale after each ``EVERY`` characters, and the
+        sums of the last prefixes (1 at the last) with their logarithm at ``mark`` and at the end.
+        """
         prefix, size = self._prefix(points), points.shape[1]
-        alpha = np.zeros((len(points), size + 1, chances.shape[1]))
+        rows_n = len(points)
+        alpha = np.zeros((rows_n, size + 1, chances.shape[1]))
         alpha[:, 0] = 1
-        found = []
-        for i in range(1, size + 1):
+        first, found, states = 1, [], []
+        if given is not None:
+            first = given.shape[1]
+            alpha[:, :first] = given
+        logs = np.zeros((rows_n, size // EVERY + 1, chances.shape[1]))
+        for i in range(first, size + 1):
             starts, piece = self.ends_at(prefix, i)
             rows, cols = np.nonzero(piece >= 0)
             piece, starts = piece[rows, cols], starts[cols]
             found.append((rows, starts, piece))
             terms = alpha[rows, starts] * chances[piece]
             # Every row has a piece here: at least its last character.
-            alpha[:, i] = np.add.reduceat(terms, np.searchsorted(rows, np.arange(len(points))), axis=0)
-        return alpha, found
-
-    def expected(self, points, weights, chances):
-        """Expected uses of each piece in words of one length, by one language's ``chances``."""
-        alpha, found = self.forward(points, chances[:, None])
-        alpha, size = alpha[:, :, 0], points.shape[1]
-        beta = np.zeros(alpha.shape)
+            alpha[:, i] = np.add.reduceat(terms, np.searchsorted(rows, np.arange(rows_n)), axis=0)
+            if i % EVERY == 0:
+                by = alpha[:, i].copy()
+                alpha[:, max(0, i - self.longest + 1) : i + 1] /= by[:, None]
+                logs[:, i // EVERY :] += np.log(by)[:, None]
+            if i in (mark, size):
+                last = alpha[:, max(0, i - self.longest + 1) : i + 1]
+                states.append((last / alpha[:, i, None], np.log(alpha[:, i]) + logs[:, i // EVERY]))
+        return alpha, found, logs, states
+
+    def expected(self, points, weights, chances, inner=slice(None)):
+        """Expected uses of each piece in words of one length, by one language's ``chances``: of the pieces that end
+        after the characters of ``inner``."""
+        alpha, found, logs, states = self.forward(points, chances[:, None])
+        alpha, logs, whole, size = alpha[:, :, 0], logs[:, :, 0], states[-1][1][:, 0], points.shape[1]
+        # A prefix has the scale of the last time that it was among the last ones.
+        scale = logs[:, np.minimum((np.arange(size + 1) + self.longest - 1) // EVERY, size // EVERY)]
+        counted = np.zeros(size + 1, bool)
+        counted[1:][inner] = True
+        beta, behind = np.zeros(alpha.shape), np.zeros(len(points))
         beta[:, size] = 1
         out = np.zeros(self.n)
         for i in range(size, 0, -1):
+            if i % EVERY == 0:
+                by = beta[:, i].copy()
+                beta[:, max(0, i - self.longest) : i + 1] /= by[:, None]
+                behind += np.log(by)
             rows, starts, piece = found[i - 1]
             step = chances[piece] * beta[rows, i]
             beta[rows, starts] += step
-            out += np.bincount(piece, alpha[rows, starts] * step / alpha[rows, size] * weights[rows], self.n)
+            if counted[i]:
+                share = alpha[rows, starts] * step * np.exp(scale[rows, starts] + (behind - whole)[rows])
+                out += np.bincount(piece, share * weights[rows], self.n)
         return out
 
+    def uses(self, words: list[str], weights, chances):
+        """Expected uses of each piece in words, by one language's ``chances``."""
+        out = np.zeros(self.n)
+        for rows, points in self.by_length(words):
+            if points.shape[1] <= LONG:
+                out += self.expected(points, weights[rows], chances)
+                continue
+            for row, line in zip(rows, points):
+                for spots in self._chunks(line.size, AROUND, AROUND):
+                    lo, at, to, hi = spots[0]
+                    part = np.stack([line[x[0] : x[3]] for x in spots])
+                    out += self.expected(part, np.full(len(part), weights[row]), chances, slice(at - lo, to - lo))
+        return out
+
+    @staticmethod
+    def _chunks(size: int, before: int, after: int):
+        """Chunks ``(start early, start, end, end late)`` of a word, in lists of alike ones that are worked on together."""
+        every = [(max(0, at - before), at, min(at + CHUNK, size), min(at + CHUNK + after, size)) for at in range(0, size, CHUNK)]
+        shape = lambda x: (x[1] - x[0], x[2] - x[1], x[3] - x[2])
+        for _, alike in itertools.groupby(every, shape):
+            alike = list(alike)
+            step = CELLS // (before + CHUNK + after)
+            for k in range(0, len(alike), step):
+                yield alike[k : k + step]
+
+    def logs(self, points, chances):
+        """Logarithm of the sum over all segmentations of words of one length: (rows, languages)."""
+        if points.shape[1] <= LONG:
+            return self.forward(points, chances)[3][-1][1]
+        return np.stack([self._long_log(line, chances) for line in points])
+
+    def _long_log(self, line, chances):
+        total, ended = np.zeros(chances.shape[1]), None
+        for spots in self._chunks(line.size, EARLY, 0):
+            lo, at, to, _ = spots[0]
+            states = self.forward(np.stack([line[x[0] : x[2]] for x in spots]), chances, mark=at - lo or None)[3]
+            for k, (_, start, end, _) in enumerate(spots):
+                last, log = states[-1][0][k], states[-1][1][k]
+                if ended is not None:
+                    log = log - states[0][1][k]
+                    if not np.allclose(states[0][0][k], ended, rtol=AGREE, atol=0):
+                        rest = line[None, start - self.longest + 1 : end]
+                        again = self.forward(rest, chances, given=ended[None])[3][-1]
+                        last, log = again[0][0], again[1][0]
+                total += log
+                ended = last
+        return total
+
     def by_length(self, words: list[str]):
         """Code points of ``words`` in blocks of one length: (index of each row's word, matrix)."""
-        cut, own = ["▁" + w[: MAX_WORD - 1] for w in words], list(range(len(words)))
-        for k, word in enumerate(words):
-            for at in range(MAX_WORD - 1, len(word), MAX_WORD):
-                cut.append(word[at : at + MAX_WORD])
-                own.append(k)
-        own, sizes = np.array(own, np.int64), np.fromiter(map(len, cut), np.int64, len(cut))
+        if not words:
+            return
+        cut = ["▁" + w for w in words]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         flat = np.frombuffer("".join(cut).encode("utf-32-le"), np.uint32)
         offsets = np.concatenate(([0], np.cumsum(sizes)))
         order = np.argsort(sizes, kind="stable")
         edges = np.searchsorted(sizes[order], np.unique(sizes), "left")
         for lo, hi in zip(edges, [*edges[1:], len(order)]):
             size = int(sizes[order[lo]])
-            step = CELLS // size
+            step = max(1, CELLS // size)
             for at in range(lo, hi, step):
                 rows = order[at : min(at + step, hi)]
-                yield own[rows], flat[offsets[rows][:, None] + np.arange(size)]
+                yield rows, flat[offsets[rows][:, None] + np.arange(size)]
 
 
 @functools.lru_cache(2)
@@ -160,7 +244,7 @@ class LanguageModel:
         out = np.zeros((len(words), len(self.langs)))
         cutter = segmenter(self.path)
         for rows, points in cutter.by_length(words):
-            np.add.at(out, rows, np.log(cutter.forward(points, self.chances)[0][:, -1]))
+            out[rows] = cutter.logs(points, self.chances)
         return out
 
     def word_logs(self, words: list[str]) -> np.ndarray:
@@ -259,8 +343,7 @@ def _expected(words: DataFrame, langs, chances, path) -> np.ndarray:
             for k, lang in enumerate(langs):
                 part = batch.take(pa.array([i for i, x in enumerate(names) if x == lang], pa.int64()))
                 weights = part.column("n").to_numpy(zero_copy_only=False).astype(float)
-                for rows, points in cutter.by_length(part.column("word").to_pylist()):
-                    out[:, k] += cutter.expected(points, weights[rows], held.value[:, k])
+                out[:, k] += cutter.uses(part.column("word").to_pylist(), weights, held.value[:, k])
         piece, k = np.nonzero(out)
         columns = [pa.array(k), pa.array(piece), pa.array(out[piece, k])]
         yield pa.RecordBatch.from_arrays(columns, names=["k", "piece", "uses"])

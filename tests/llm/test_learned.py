@@ -72,15 +72,81 @@ def test_forward_sums_all_segmentations():
 
     for word in ("▁the", "▁nation", "▁日本xß", "▁"):
         points = np.array([[ord(c) for c in word]])
-        alpha, _ = cutter.forward(points, chances)
+        logs = cutter.logs(points, chances)
         for k in range(2):
-            assert math.isclose(alpha[0, -1, k], brute(points[0], 0, k), rel_tol=1e-9)
+            assert math.isclose(math.exp(logs[0, k]), brute(points[0], 0, k), rel_tol=1e-9)
         # Expected uses weigh the pieces' lengths to the whole word.
         uses = cutter.expected(points, np.ones(1), chances[:, 0])
         sizes = np.append(cutter.sizes, 1)
         assert math.isclose((uses * sizes).sum(), len(word), rel_tol=1e-9)
 
 
+def plain_sums(cutter, word, chances):
+    """Log of the sum over all segmentations, and the expected uses of each piece, one character and piece at a time."""
+    names = {}
+    for size in range(1, cutter.longest + 1):
+        for at in range(len(word) - size + 1):
+            part = np.array([[ord(c) for c in word[at : at + size]]])
+            piece = int(cutter.keys.find(cutter._key(cutter._prefix(part)[:, -1], size))[0])
+            if piece >= 0 or size == 1:
+                names[at, at + size] = piece if piece >= 0 else cutter.n - 1
+    forward, backward = [0.0] + [-math.inf] * len(word), [-math.inf] * len(word) + [0.0]
+    for (at, to), piece in sorted(names.items(), key=lambda x: x[0][1]):
+        forward[to] = np.logaddexp(forward[to], forward[at] + math.log(chances[piece]))
+    for (at, to), piece in sorted(names.items(), key=lambda x: -x[0][0]):
+        backward[at] = np.logaddexp(backward[at], backward[to] + math.log(chances[piece]))
+    uses = np.zeros(cutter.n)
+    for (at, to), piece in names.items():
+        uses[piece] += math.exp(forward[at] + math.log(chances[piece]) + backward[to] - forward[-1])
+    return forward[-1], uses
+
+
+LETTERS = np.random.default_rng(9).choice(list("etaoinshrdlu"), 1_500)
+
+
+@pytest.mark.parametrize("word", ["▁internationalization" * 4, "▁" + "".join(LETTERS), "▁" + "a" * 900, "▁" + "日本語のテキスト" * 90, "▁" + "ab" * 256, "▁" + "q" * 511])
+def test_long_words_sum_all_segmentations(word):
+    cutter = op4.segmenter(op4.public_tokenizers.path(op4.MODEL))
+    chances = np.maximum(np.random.default_rng(len(word)).uniform(0, 1e-3, (cutter.n, 2)) ** 2, op4.FLOOR)
+    points = np.array([[ord(c) for c in word]])
+    logs = cutter.logs(points, chances)
+    for k in range(2):
+        want, uses = plain_sums(cutter, word, chances[:, k])
+        assert math.isclose(logs[0, k], want, rel_tol=1e-11)
+        got = cutter.uses([word[1:]], np.full(1, 3.0), chances[:, k])
+        assert math.isclose(got @ np.append(cutter.sizes, 1), 3 * uses @ np.append(cutter.sizes, 1), rel_tol=0.02)
+        if word != "▁" + "a" * 900:
+            assert np.allclose(got, 3 * uses, rtol=1e-6, atol=1e-9)
+
+
+def test_a_chunk_that_does_not_agree_is_summed_again(monkeypatch):
+    cutter = op4.segmenter(op4.public_tokenizers.path(op4.MODEL))
+    chances = np.full((cutter.n, 1), 1e-4)
+    points = np.array([[ord(c) for c in "▁" + "".join(LETTERS)]])
+    want = cutter.logs(points, chances)
+    monkeypatch.setattr(op4, "AGREE", -1.0)
+    assert np.allclose(cutter.logs(points, chances), want, rtol=1e-11)
+
+
+def test_a_million_characters_without_a_break():
+    cutter = op4.segmenter(op4.public_tokenizers.path(op4.MODEL))
+    points = np.tile(np.array([ord(c) for c in LETTERS]), 667)[None, :1_000_000]
+    assert np.isfinite(cutter.logs(points, np.full((cutter.n, 3), 1e-4))).all()
+
+
+def test_prediction_by_plain_sums(spark):
+    texts = [("en", "the nation and the people"), ("en", "of the house"), ("fr", "la nation et le peuple"), ("fr", "dans la maison"), ("de", "das Haus und das Volk")]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = op4.fit(docs)
+    cutter = op4.segmenter(model.path)
+    given = ["the house and la maison", "das " + "Volkshaus" * 80, "peuple", "nation"]
+    rows = op4.predict(spark.createDataFrame(list(enumerate(given)), "doc_id long, text string"), model).collect()
+    for row in rows:
+        total = model.prior + sum(np.array([plain_sums(cutter, "▁" + w, model.chances[:, k])[0] for k in range(3)]) for w in given[row.doc_id].split())
+        assert row.lang_pred == model.langs[int(total.argmax())]
+        assert math.isclose(row.score, 1 / np.exp(total - total.max()).sum(), rel_tol=1e-9)
+
+
 @pytest.mark.parametrize("text", ["x" * 5000, "日" * 500, "a " * 5000])
 def test_long_words_stay_finite(text):
     cutter = op4.segmenter(op4.public_tokenizers.path(op4.MODEL))
