@@ -4,8 +4,9 @@ The index holds, for each term that a test window can be looked up by, its posti
 in the training texts; it is a stored table. Terms are counted over all training texts first. A window of
 consecutive test words is looked up by its rarest terms: the postings of each, shifted back by the term's
 place in the window, give the starts where the window could stand, and the lists are intersected from the
-rarest on. What is left is compared word by word with the text (exact phrase), or, for proximity, the
-terms need only stand within a given width of each other.
+rarest on. What is left is compared word by word with the text (exact phrase). For proximity (``near``) the postings
+need only lie close to each other, and then all terms of the window must stand within so many consecutive words, in
+any order; a term that the window repeats must stand there once. Texts are split into words once, into a stored table.
 
 Everything that is broadcast is counted first (``MAX_BROADCAST`` rows at most); beyond that the same join
 is shuffled.
@@ -42,7 +43,8 @@ def words(text: Column) -> Column:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, whole`` name a document: its id and a hash of its text. Rows that repeat both are alike."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("whole"), words(F.col(text_col)).alias("words"))
+    split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("whole"), words(F.col(text_col)).alias("words"))
+    return split.withColumn("n_words", F.size("words").cast("long"))
 
 
 def windows(items: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -65,7 +67,8 @@ def bounded(small: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, tf`` of each of ``terms``, over all documents (0 where it does not occur)."""
     tokens = docs.select(F.explode("words").alias("term"))
-    counted = tokens.groupBy("term").agg(F.count("*").alias("tf"))
+    # Other terms are left out before anything is counted.
+    counted = tokens.join(bounded(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("tf"))
     return terms.join(counted, "term", "left").select("term", F.coalesce("tf", F.lit(0)).alias("tf"))
 
 
@@ -126,9 +129,12 @@ def phrases(docs: DataFrame, cut: DataFrame, index: DataFrame, looked: DataFrame
     return texts.select("id", "whole", right.alias("right")).where(F.size("right") > 0).dropDuplicates(["id", "whole"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id, whole, n_words, n_hit, item_list`` (of the items' ids as strings, sorted)."""
-    named = keyed(docs, id_col, text_col)
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", near: int | None = None) -> DataFrame:
+    """Per row of ``docs``: ``id, whole, n_words, n_hit, item_list`` (of the items' ids as strings, sorted).
+
+    With ``near`` also ``near_list``: the items of which all terms of a window stand within ``near`` words.
+    """
+    named = materialize(keyed(docs, id_col, text_col), "texts")
     cut = materialize(windows(items, item_col, item_text, size), "windows")
     terms = cut.select(F.explode("terms").alias("term")).distinct()
     counts = materialize(term_counts(named, terms), "counts")
@@ -136,29 +142,54 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col:
     index = build_index(named, looked.select("term").distinct())
     right = phrases(named, cut, index, looked)
     covered = F.transform("right", lambda r: F.sequence(r["start"], r["start"] + r["n"] - 1))
-    named_items = F.flatten(F.transform("right", lambda r: r["items"]))
     hits = right.select(
         F.col("id").alias("_id"),
         F.col("whole").alias("_whole"),
         F.size(F.array_distinct(F.flatten(covered))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform(named_items, lambda i: i.cast("string")))).alias("item_list"),
+        item_names("right").alias("item_list"),
     )
     hits = materialize(hits, "hits")
-    rows = named.select("id", "whole", F.size("words").cast("long").alias("n_words"))
-    joined = rows.join(hits, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")), "left")
-    return joined.select(
-        "id",
-        "whole",
-        "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("item_list", F.array().cast("array<string>")).alias("item_list"),
-    )
+    same = (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id"))
+    none = F.array().cast("array<string>")
+    found = named.select("id", "whole", "n_words").join(hits, same, "left").drop("_id", "_whole")
+    columns = ["id", "whole", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_list", none).alias("item_list")]
+    if near is not None:
+        close = near_windows(named, cut, index, looked, near).select(
+            F.col("id").alias("_id"), F.col("whole").alias("_whole"), item_names("close").alias("near_list")
+        )
+        found = found.join(materialize(close, "near"), same, "left")
+        columns.append(F.coalesce("near_list", none).alias("near_list"))
+    return found.select(*columns)
+
+
+def item_names(windows_col: str) -> Column:
+    """The distinct items of an array of windows as sorted strings."""
+    ids = F.flatten(F.transform(windows_col, lambda w: w["items"]))
+    return F.array_sort(F.array_distinct(F.transform(ids, lambda i: i.cast("string"))))
+
+
+def near_windows(docs: DataFrame, cut: DataFrame, index: DataFrame, looked: DataFrame, width: int) -> DataFrame:
+    """``id, whole, close``: of each document the windows of which all terms stand within ``width`` words."""
+    spots = near_phrases(index, looked, width).groupBy("id", "whole", "window").agg(F.collect_set("at").alias("spots"))
+    spots = spots.join(cut.select("window", F.array_distinct("terms").alias("terms"), "items"), "window")
+    by_doc = spots.groupBy("id", "whole").agg(F.collect_list(F.struct("spots", "terms", "items")).alias("tries"))
+    by_doc = materialize(by_doc, "near_tries").withColumnRenamed("id", "_id").withColumnRenamed("whole", "_whole")
+    texts = docs.join(by_doc, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")))
+
+    def fits(window):
+        holds = lambda start: F.size(F.array_intersect(window["terms"], F.slice(F.col("words"), start + 1, width))) == F.size(window["terms"])
+        # A stretch with the rarest term at ``at`` starts there or before.
+        return F.exists(window["spots"], lambda at: F.exists(F.sequence(F.greatest(at - width + 1, F.lit(0)), at), holds))
+
+    close = texts.select("id", "whole", F.filter("tries", fits).alias("close"))
+    return close.where(F.size("close") > 0).dropDuplicates(["id", "whole"])
 
 
 def near_phrases(index: DataFrame, looked: DataFrame, width: int) -> DataFrame:
-    """Proximity matches ``id, whole, window, at``: a window's rarest terms within ``width`` words of each
-    other, wherever they stand and in any order."""
+    """Places ``id, whole, window, at`` of a window's rarest term that have its second rarest within ``width`` words,
+    before or behind. Windows of one term have no second and all their places count."""
     found = None
+    size = looked.groupBy("window").agg(F.max("rank").alias("last"))
     for rank in range(1, LOOKUPS + 1):
         terms = looked.where(F.col("rank") == rank).select("term", "window")
         places = index.join(bounded(terms), "term").select("id", "whole", "window", "at")
@@ -171,7 +202,9 @@ def near_phrases(index: DataFrame, looked: DataFrame, width: int) -> DataFrame:
         b = places.withColumn("block", blocks).alias("b")
         close = F.abs(F.col("a.at") - F.col("b.at")) < width
         same = (F.col("a.whole") == F.col("b.whole")) & (F.col("a.window") == F.col("b.window")) & (F.col("a.block") == F.col("b.block"))
-        found = a.join(b, same & close & F.col("a.id").eqNullSafe(F.col("b.id")), "left_semi").select("id", "whole", "window", "at")
+        short = bounded(size.where(F.col("last") < rank).select("window"))
+        both = a.join(b, same & close & F.col("a.id").eqNullSafe(F.col("b.id")), "left_semi").select("id", "whole", "window", "at")
+        found = both.union(found.join(short, "window", "left_semi").select(both.columns))
     return found.distinct()
 
 

@@ -119,6 +119,38 @@ def test_proximity(spark):
     assert sorted(r.id for r in op6.near_phrases(index, looked, 5).collect()) == [1, 3]
 
 
+def brute_near(doc, items, width, size=10):
+    w, named = words(doc), set()
+    for item, text in items:
+        t = words(text)
+        n = min(size, len(t))
+        if item is None or not n:
+            continue
+        for i in range(len(t) - n + 1):
+            terms = set(t[i : i + n])
+            if any(terms <= set(w[s : s + width]) for s in range(len(w))):
+                named.add(str(item))
+    return sorted(named)
+
+
+@pytest.mark.parametrize("width", [3, 12, 20])
+def test_proximity_of_all_terms(spark, width):
+    rng = random.Random(width)
+    letters = "aa bb cc dd ee ff gg hh ii jj kk ll mm nn".split()
+    prose = lambda n: " ".join(rng.choice(letters) for _ in range(n))
+    items = [(1, prose(12)), (2, "rare"), (3, "rare word"), (4, "rare rare rare"), (5, None), (None, "aa"), (6, prose(10)), (7, "never seen"), (3, "rare word")]
+    mixed = items[0][1].split()
+    rng.shuffle(mixed)
+    docs = [(i, t) for i, t in enumerate([prose(60), prose(400), " ".join(mixed), "word x rare", "word " + "x " * width + "rare", items[6][1] + " x " + items[0][1], None, "", "seen", "RARE"])]
+    docs += [docs[2], (None, docs[3][1]), (None, "word"), (3, "other")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("near_list", op6.F.lit(1))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(((r.id if r.id is not None else -1), r.n_hit, list(r.item_list), list(r.near_list)) for r in op6.contamination(frame, bench, near=width).collect())
+    want = sorted(((i if i is not None else -1), *brute_hits(t, items)[1:], brute_near(t, items, width)) for i, t in docs)
+    assert found == want
+    assert op6.contamination(frame.limit(0), bench, near=width).count() == 0
+
+
 def test_shuffled_joins_give_the_same(spark, sf_dir, monkeypatch):
     want = sorted(map(repr, op6.query(spark, sf_dir).collect()))
     monkeypatch.setattr(op6, "MAX_BROADCAST", 0)
