@@ -64,6 +64,14 @@ def bounded(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else small
 
 
+def only(docs: DataFrame, by_doc: DataFrame) -> DataFrame:
+    """``docs`` without most rows that ``by_doc`` does not name, if the named texts are few enough for a broadcast: so other
+    words are not shuffled. Beyond that all rows, of which the join that follows takes the same."""
+    named = by_doc.select(F.col("_whole").alias("whole")).distinct()
+    few = named.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    return docs.join(F.broadcast(named), "whole", "left_semi").select(docs.columns) if few else docs
+
+
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, tf`` of each of ``terms``, over all documents (0 where it does not occur)."""
     tokens = docs.select(F.explode("words").alias("term"))
@@ -124,7 +132,7 @@ def phrases(docs: DataFrame, cut: DataFrame, index: DataFrame, looked: DataFrame
     by_doc = whole.groupBy("id", "whole").agg(F.collect_list(F.struct("start", "n", "terms", "items")).alias("tries"))
     by_doc = materialize(by_doc, "tries").withColumnRenamed("id", "_id").withColumnRenamed("whole", "_whole")
     # Only documents with a candidate are read again, and each once.
-    texts = docs.join(by_doc, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")))
+    texts = only(docs, by_doc).join(by_doc, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")))
     right = F.filter("tries", lambda t: F.slice(F.col("words"), t["start"] + 1, t["n"]) == t["terms"])
     return texts.select("id", "whole", right.alias("right")).where(F.size("right") > 0).dropDuplicates(["id", "whole"])
 
@@ -174,7 +182,7 @@ def near_windows(docs: DataFrame, cut: DataFrame, index: DataFrame, looked: Data
     spots = spots.join(cut.select("window", F.array_distinct("terms").alias("terms"), "items"), "window")
     by_doc = spots.groupBy("id", "whole").agg(F.collect_list(F.struct("spots", "terms", "items")).alias("tries"))
     by_doc = materialize(by_doc, "near_tries").withColumnRenamed("id", "_id").withColumnRenamed("whole", "_whole")
-    texts = docs.join(by_doc, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")))
+    texts = only(docs, by_doc).join(by_doc, (F.col("whole") == F.col("_whole")) & F.col("id").eqNullSafe(F.col("_id")))
 
     def fits(window):
         holds = lambda start: F.size(F.array_intersect(window["terms"], F.slice(F.col("words"), start + 1, width))) == F.size(window["terms"])
