@@ -23,7 +23,7 @@ def words(text):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     duck = duckdb.connect()
-    for view in ("pages", "documents", "benchmark"):
+    for view in ("pages", "documents", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {view} AS FROM '{sf_dir}/{view}.parquet'")
     result = QUERIES[name](spark, sf_dir)
     expected = duck.execute(ORACLE_SQL[name])
