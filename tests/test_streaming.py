@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from chatloom.operators import censor_messages, format_messages, stamp_latency
 from chatloom.plans import views
@@ -15,6 +16,7 @@ from chatloom.streaming import (
     censor_job,
     format_job,
     log_batches,
+    read_counts,
     read_latency,
     write_latency_stream,
     write_messages_stream,
@@ -277,3 +279,41 @@ def test_wire_format_round_trip(spark, sf_dir):
     chat = views.chat(spark, sf_dir)
     back = format_messages(views.raw(chat)).select(*MESSAGE_COLUMNS)
     assert same_rows(back, chat.withColumn("text", F.trim("text")).select(*MESSAGE_COLUMNS))
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_jobs_cache_nothing_and_parse_clean_batches_once(spark, folder, staged, monkeypatch):
+    monkeypatch.delattr(DataFrame, "persist")
+    parsed = spark.sparkContext.accumulator(0)
+    put(folder, "a.json", [line(i) for i in range(4)])
+    put(folder, "b.json", [line(i) for i in range(4, 7)] + ["{broken"])
+
+    @F.udf("string")
+    def seen(value):
+        parsed.add(1)
+        return value
+
+    raw = read_messages_stream(spark, str(folder / "in"), maxFilesPerTrigger="1")
+    format_job(
+        raw.withColumn("value", seen.asNondeterministic()("value")),
+        str(folder / "out"),
+        str(folder / "checkpoint"),
+        quarantine=str(folder / "bad"),
+        latency=str(folder / "latency") if staged else None,
+        counts=str(folder / "counts"),
+        trigger=AVAILABLE_NOW,
+    ).awaitTermination()
+    assert sorted(row["message_id"] for row in read_messages(spark, str(folder / "out")).collect()) == list(range(7))
+    assert [row["value"] for row in spark.read.parquet(str(folder / "bad")).collect()] == ["{broken"]
+    # The batch with a bad value is parsed again for the quarantine, the other is not.
+    assert parsed.value == 4 + 2 * 4
+    assert {row[0]: row[1] for row in read_counts(spark, str(folder / "counts"), "channel_id").collect()} == {0: 4, 1: 3}
+
+
+def test_bad_values_are_kept_though_no_channel_is_wanted(spark, folder):
+    put(folder, "a.json", [line(1), "{broken"])
+    raw = read_messages_stream(spark, str(folder / "in"))
+    nothing = spark.createDataFrame([], "channel_id bigint")
+    out, checkpoint, bad = (str(folder / name) for name in ("out", "checkpoint", "bad"))
+    format_job(raw, out, checkpoint, bad, channels=lambda: nothing, trigger=AVAILABLE_NOW).awaitTermination()
+    assert [row["value"] for row in spark.read.parquet(bad).collect()] == ["{broken"]
