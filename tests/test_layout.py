@@ -7,7 +7,7 @@ import pytest
 from helpers import MESSAGE_DDL
 from pyspark.sql import functions as F
 
-from chatloom.sources import channel_counts, read_messages, subscribe_changes, subscribe_channels
+from chatloom.sources import channel_counts, read_messages, selection, subscribe_changes, subscribe_channels
 from chatloom.streaming import compact_messages, finish_compaction, store_batch
 from chatloom.streaming import layout
 
@@ -148,3 +148,21 @@ def layout_pieces(counts):
     from chatloom.functions.skew import hot_keys
 
     return {row[0]: row[1] for row in hot_keys(counts, "channel_id").collect()}
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_a_long_log_of_a_channel_is_searched_in_nodes(spark, monkeypatch, limit):
+    monkeypatch.setattr("chatloom.sources.selection.FAN_OUT", 4)
+    at = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    # 100 changes of channel 1 take four levels, the two of channel 2 one.
+    changes = [(1, at(10 * n), n % 3 > 0) for n in range(100)] + [(2, at(50), True), (2, at(70), False)]
+    rows = [(n, channel, at(n - 20)) for channel in (1, 2, 3) for n in range(1050)]
+    log = spark.createDataFrame(changes, "channel_id bigint, changed_at timestamp, wanted boolean")
+    messages = spark.createDataFrame(rows, "message_id bigint, channel_id bigint, arrived_at timestamp")
+    kept = subscribe_changes(messages, log, max_broadcast=limit)
+    one = {s + 20 for s in range(1030) if min(s // 10, 99) % 3 > 0}
+    assert {(r["channel_id"], r["message_id"]) for r in kept.collect()} == {(1, n) for n in one} | {(2, s + 20) for s in range(50, 70)}
+    # No row has a whole log, but at most a node of it.
+    levels, leaves, total = selection._tree(log)
+    assert len(levels) == 3 and total == 102
+    assert max(len(row["_starts"]) for frame in [*levels, leaves] for row in frame.collect()) == 4
