@@ -179,3 +179,25 @@ def test_pattern_factors_prefixes():
     assert mask_literal("$\\") == "\\$\\\\"
     # A long entry does not exhaust the stack.
     assert word_pattern(["a" * 5000]) is not None
+
+
+def test_filter_on_hits_does_not_repeat_the_search(spark):
+    frame = messages(spark, ["an idiot", "fine", None]).repartition(2)
+    dropped = drop_profane_messages(frame, ["idiot", "trash talk"], max_pattern_chars=0)
+    assert texts(dropped) == [None, "fine"] or texts(dropped) == ["fine", None]
+    plan = dropped._jdf.queryExecution().optimizedPlan().toString()
+    # Cut into pieces once for the search and once for the text between the hits at most.
+    assert plan.count("regexp_extract_all") <= 2
+
+
+@pytest.mark.parametrize("listed", [5000, 1])
+def test_only_words_of_the_lexicon_are_shuffled(spark, monkeypatch, listed):
+    monkeypatch.setattr("chatloom.operators.censoring.MAX_LISTED", listed)
+    raw = ["an idiot Scum", "fine and long text", None, "", "scum"]
+    way = {"max_pattern_chars": 0, "max_table_chars": 0}
+    frame = censor_messages(messages(spark, raw), ["idiot", "scum", "unused"], **way)
+    assert texts(frame) == ["an *** ***", "fine and long text", None, "", "***"]
+    assert frame.columns == messages(spark, raw).columns
+    assert texts(drop_profane_messages(messages(spark, raw), ["idiot", "scum", "unused"], **way)) == ["fine and long text", None, ""]
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert ("word#" in plan and " IN (" in plan or " INSET " in plan) == (listed == 5000)
