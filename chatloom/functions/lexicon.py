@@ -10,6 +10,10 @@ WORD_CHAR = r"[\p{L}\p{N}_]"
 MAX_PATTERN_CHARS = 500_000
 
 
+# The characters beyond ASCII that are equal to an ASCII letter but for case.
+NON_ASCII_CASES = {"i": "\u0130\u0131", "k": "\u212a", "s": "\u017f"}
+
+
 def fold_char(char: str) -> str:
     """The representative that case-insensitive Unicode matching compares: lower(upper(c))."""
     upper = char.upper() if len(char.upper()) == 1 else char
@@ -46,7 +50,15 @@ def word_pattern(words: Iterable[str | None]) -> str | None:
         for char in word:
             node = node.setdefault(char, {})
         node[""] = {}
-    return rf"(?iu)(?<!{WORD_CHAR})(?:{_branches(root)})(?!{WORD_CHAR})"
+    end = f"(?!{WORD_CHAR})"
+    if len(root) == 1 or not all(map(str.isascii, root)):
+        return rf"(?iu)(?<!{WORD_CHAR})(?:{_branches(root)}){end}"
+    # Most places of a text are ruled out by one or two looks into a table, if a match begins with a plain set of
+    # characters; what stands before it, and which of them it is, is asked afterwards, looking back.
+    seconds = {char for child in root.values() for char in child}
+    ahead = f"(?={_any_case(seconds)})" if all(char and char.isascii() for char in seconds) else ""
+    options = "|".join(f"(?<={_quote(char)}){_branches(child)}" for char, child in root.items())
+    return rf"{_any_case(root)}{ahead}(?<!\w(?s:.))(?iu)(?<!{WORD_CHAR}(?s:.))(?:{options}){end}"
 
 
 def gap_pattern(pattern: str) -> str:
@@ -59,6 +71,12 @@ def mask_literal(mask: str) -> str:
     return mask.replace("\\", "\\\\").replace("$", "\\$")
 
 
+def _any_case(chars: Iterable[str]) -> str:
+    """A set, for a match that heeds case, of ASCII characters and all that are equal to them but for case."""
+    members = {variant for char in chars for variant in (char, char.upper(), *NON_ASCII_CASES.get(char, ""))}
+    return f"[{''.join(map(_quote, sorted(members)))}]"
+
+
 def _quote(char: str) -> str:
     if char == "ß":  # has no upper case of its own, so its capital form must be named
         return "[ßẞ]"

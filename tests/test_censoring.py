@@ -1,9 +1,10 @@
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.functions.lexicon import clean_words, mask_literal, word_pattern
+from chatloom.functions.lexicon import NON_ASCII_CASES, WORD_CHAR, clean_words, fold_char, mask_literal, word_pattern
 from chatloom.operators import censor_messages, drop_profane_messages
 from chatloom.plans.sql_tasks import run_sql_task
 from helpers import find_hits, mask_text, messages, texts
@@ -181,6 +182,37 @@ def test_pattern_factors_prefixes():
     assert word_pattern(["a" * 5000]) is not None
 
 
+# Every character that equals an ASCII letter but for case, and what may stand before a hit.
+CLOSE = ["scum", "Scum", "\u017fcum", "kit", "\u212ait", "idiot", "\u0130diot", "\u0131d\u0131ot", "a", "$x", "$X", "b c"]
+
+
+@pytest.mark.parametrize("more", [[], ["a"], ["$x", "b c"], ["é"], ["-ab", "^ab", "]ab", "\\ab"]])
+def test_pattern_looks_at_first_characters_first(spark, more):
+    words = ["scum", "kit", "idiot", "stupid", *more]
+    pattern = word_pattern(words)
+    # A set without regard to flags comes first, unless a word starts beyond ASCII.
+    assert pattern.startswith("[") == ("é" not in more)
+    before = ["", " ", "x", "é", "_", "7", "\n", "-", "𝐚", "🎉", "e\u0301", "s", "k", "-\U00010400"]
+    given = [f"{b}{w}{a}" for b in before for w in [*CLOSE, *more] for a in ("", " ", "s", "é", "\n", "𝐚", f" {w}")]
+    old = rf"(?iu)(?<!{WORD_CHAR})(?:{'|'.join(sorted(map(quoted, words), key=len, reverse=True))})(?!{WORD_CHAR})"
+    frame = messages(spark, given)
+    found = [F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (pattern, old)]
+    rows = frame.select("text", found[0].alias("new"), found[1].alias("old")).collect()
+    assert [r for r in rows if r.new != r.old] == [] and any(r.new for r in rows)
+
+
+def quoted(word):
+    return "".join(rf"\x{{{ord(c):x}}}" for c in word)
+
+
+def test_cases_beyond_ascii_are_all_known():
+    found = {}
+    for char in map(chr, range(128, sys.maxunicode + 1)):
+        if fold_char(char).isascii():
+            found.setdefault(fold_char(char), set()).add(char)
+    assert found == {letter: set(chars) for letter, chars in NON_ASCII_CASES.items()}
+
+
 def test_filter_on_hits_does_not_repeat_the_search(spark):
     frame = messages(spark, ["an idiot", "fine", None]).repartition(2)
     dropped = drop_profane_messages(frame, ["idiot", "trash talk"], max_pattern_chars=0)
