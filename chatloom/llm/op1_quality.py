@@ -34,6 +34,8 @@ SMOOTHING = 30
 MAX_TRAIN = 3_000
 EPOCHS = 12
 RATE = 2.0
+#: Bytes of text that are scored at once. The arrays of n-grams take some fifty bytes for each.
+SCORED_BYTES = 512 << 10
 ODD = 0x9E3779B1
 
 
@@ -217,7 +219,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", to: str
     names = schema.names
 
     def work(batches):
-        for part in text_chunks(batches, text_col):
+        for part in text_chunks(batches, text_col, SCORED_BYTES):
             column = part.column(text_col)
             values = held.value.score(*flat_bytes(column))
             columns = dict(zip(part.schema.names, part.columns)) | {to: pa.array(values, pa.float64())}

@@ -1,12 +1,15 @@
 """Quality classifier and language identification."""
 
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from chatloom.llm import op1_quality as op1
 from chatloom.llm import op4_language as op4
+from chatloom.llm.common import flat_bytes, text_chunks
 
 
 def test_quality_of_held_out_documents(spark, sf_dir):
@@ -29,6 +32,17 @@ def test_one_text_scores_alike_in_any_batch():
     assert np.allclose(together, alone)
 
 
+def test_scoring_a_large_batch_takes_little_memory():
+    texts = pa.array([f"some words about number {i} " * 40 for i in range(8_000)])
+    model = op1.QualityModel(np.ones(1 << op1.BITS, np.float32), 0.0)
+    tracemalloc.start()
+    for part in text_chunks([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", op1.SCORED_BYTES):
+        assert len(model.score(*flat_bytes(part.column("text")))) == part.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert texts.nbytes > 8 << 20 and peak < 64 << 20
+
+
 def test_labels_that_contradict_are_left_out(spark):
     rows = [(1, 1), (1, 1), (2, 0), (2, 1), (3, None), (None, 1), (4, 7), (5, 0)]
     kept = op1.clean_labels(spark.createDataFrame(rows, "doc_id long, quality int")).collect()
