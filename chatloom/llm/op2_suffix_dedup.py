@@ -40,10 +40,10 @@ GRAM = 32
 MEET = 512
 #: Windows of a segment of an anchor with more than that, once it is cut finer.
 WIDTH = 16
-#: Bytes of a block.
-BLOCK = 1 << 20
-#: Bytes of text whose anchors are found at once.
-CHUNK = 2 << 20
+#: Bytes of a block: its arrays fit a core's cache.
+BLOCK = 128 << 10
+#: Bytes of text whose anchors are found at once, for the same reason.
+CHUNK = 256 << 10
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = mix64(np.arange(256, dtype=np.uint64) + np.uint64(77))
 
@@ -106,17 +106,22 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     for k in range(width):
         key <<= 15
         key[: max(0, n - k)] |= text[k:]
-    rank = np.empty(n, np.int64)
+    rank, order, slots = np.zeros(n, np.int64), np.arange(n), np.arange(n)
     while True:
-        order = np.argsort(key)
-        fresh = np.ones(n, np.int64)
-        fresh[0] = 0
-        fresh[1:] = key[order[1:]] != key[order[:-1]]
-        rank[order] = np.cumsum(fresh)
-        if width >= depth or rank[order[-1]] == n - 1 or width >= n:
+        # Only suffixes that are not told apart yet are sorted further; they stay within the slots of their group.
+        rows = order[slots]
+        sub = np.argsort(key)
+        rows, key = rows[sub], key[sub]
+        order[slots] = rows
+        fresh = np.ones(len(rows) + 1, bool)
+        fresh[1:-1] = key[1:] != key[:-1]
+        rank[rows] = slots[fresh[:-1]][np.cumsum(fresh[:-1]) - 1]
+        slots = slots[~(fresh[:-1] & fresh[1:])]
+        if width >= depth or not len(slots) or width >= n:
             return order
-        key = rank * (n + 1)
-        key[:-width] += rank[width:] + 1
+        rows = order[slots]
+        later = np.minimum(rows + width, n - 1)
+        key = rank[rows] * (n + 1) + np.where(rows + width < n, rank[later] + 1, 0)
         width *= 2
 
 
@@ -126,31 +131,27 @@ def open_prefixes(text: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
     The last symbol occurs once, so that the text can be read as a circle.
     """
     n = len(text)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     # The transform as a map: where the suffix stands that has one more symbol in front.
     to = place[order - 1]
-    first = text[order]
+    before = text[order - 1]
     known = np.zeros(n + 1, bool)
     known[0] = known[n] = True
-    owner, stamp = np.full(n + 2, -1, np.int64), 0
+    # By place: the interval and the symbol that led there last, as one number.
+    led, stamp = np.full(n + 2, -1, np.int64), 0
     low, high = np.array([0]), np.array([n - 1])
     for _ in range(stop):
         if not len(low):
             break
         sizes = high - low + 1
         rows = ragged(low, sizes)
-        mine = np.repeat(np.arange(stamp, stamp + len(low)), sizes)
+        mine = np.repeat(np.arange(stamp, stamp + len(low)) << 24, sizes) + before[rows]
         stamp += len(low)
         target = to[rows]
-        owner[target + 1] = mine
-        symbol = first[target]
+        led[target + 1] = mine
         # Rows of one interval with one symbol before them are neighbours again: the extended interval.
-        left = np.maximum(target - 1, 0)
-        starts = (owner[target] != mine) | (first[left] != symbol) | (target == 0)
-        right = np.minimum(target + 1, n - 1)
-        ends = (owner[target + 2] != mine) | (first[right] != symbol) | (target == n - 1)
-        low, high = np.sort(target[starts]), np.sort(target[ends])
+        low, high = np.sort(target[led[target] != mine]), np.sort(target[led[target + 2] != mine])
         # Where the end of an interval is new, its common prefix has this level's length.
         new = ~known[high + 1]
         known[high[new] + 1] = True
@@ -231,7 +232,8 @@ def _segments(stored: DataFrame, min_bytes: int) -> DataFrame:
     kind = stored.schema["id"].dataType.simpleString()
 
     def work(batches):
-        for part in _small(batches):
+        # Packed texts are about a quarter as long.
+        for part in text_chunks(batches, "packed", CHUNK // 4):
             texts = _unpacked(part)
             data = np.frombuffer(b"".join(texts), np.uint8)
             offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)

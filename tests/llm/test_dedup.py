@@ -43,6 +43,16 @@ def test_windows_of_a_block(size):
         assert op2.repeated_windows(texts, size).tolist() == want
 
 
+def test_only_suffixes_that_tie_are_sorted_again(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = np.concatenate([rng.integers(0, 256, 5000), np.arange(60), rng.integers(0, 256, 5000), np.arange(60), [256]])
+    sizes, sort = [], np.argsort
+    monkeypatch.setattr(op2.np, "argsort", lambda key: sizes.append(len(key)) or sort(key))
+    order = op2.sorted_suffixes(text, 100)
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+    assert len(sizes) > 3 and sum(sizes[1:]) < 1000
+
+
 def planted(rng):
     letters = "abcdefghijklmnop qrstuvwxyzé"
     prose = lambda n: "".join(rng.choice(letters) for _ in range(n))
