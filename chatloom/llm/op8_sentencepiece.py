@@ -29,9 +29,15 @@ from chatloom.llm.lattice import Lattice, merge_word
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-#: Words that a worker remembers, and bytes of text that it encodes at once: they bound its memory.
+#: Words that a worker remembers, and the characters in them: they bound its memory.
 MEMO = 250_000
+MEMO_CHARS = 4 << 20
+#: Bytes of text whose new words are encoded together, and bytes of text that is cut into words, gets its ids and is
+#: decoded at once. The second takes about 50 bytes of memory for each, the first only if all words are new.
 ENCODE_BYTES = 4 << 20
+SPELLED_BYTES = 512 << 10
+#: Characters of new words that are encoded at once.
+WORD_CHARS = 1 << 19
 
 
 class Pieces:
@@ -100,23 +106,36 @@ class Pieces:
         return seen[-1] if len(merge_word(symbols, ranked)) == 1 else None
 
     def _forget(self):
-        self.memo, self.held, self.spans = {}, [], []
+        self.memo, self.chars, self.new = {}, 0, []
+        self.ids, self.spans = np.zeros(0, np.int32), np.zeros((2, 0), np.int64)
 
-    def known_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``words`` with a memory of the last few hundred thousand of them."""
-        if len(self.memo) > MEMO:
+    def make_room(self):
+        """Forgets all words if there are too many, or some that were looked up but not learned."""
+        if self.new or len(self.memo) > MEMO or self.chars > MEMO_CHARS:
             self._forget()
-        slots = np.fromiter((self.memo.get(w, -1) for w in words), np.int64, len(words))
-        new = np.flatnonzero(slots < 0)
-        ids, offsets = self.words([words[k] for k in new.tolist()])
-        base = sum(map(len, self.held))
-        slots[new] = np.arange(len(self.memo), len(self.memo) + len(new))
-        self.memo.update(zip([words[k] for k in new.tolist()], slots[new].tolist()))
-        self.held.append(ids)
-        self.spans.append(np.stack([offsets[:-1] + base, np.diff(offsets)]))
-        self.held, self.spans = [np.concatenate(self.held)], [np.concatenate(self.spans, axis=1)]
-        start, size = self.spans[0][:, slots]
-        return self.held[0][ragged(start, size)], np.concatenate(([0], np.cumsum(size)))
+
+    def slots(self, words: list[str]) -> np.ndarray:
+        """The number of each of these distinct words in memory; ``learn`` has to follow."""
+        known = len(self.memo)
+        slots = np.fromiter((self.memo.setdefault(w, len(self.memo)) for w in words), np.int64, len(words))
+        self.new += [words[k] for k in np.flatnonzero(slots >= known).tolist()]
+        return slots
+
+    def learn(self) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes the words that are new: ids of all words in memory, and where each word's begin and how many it has."""
+        ends = np.cumsum([len(w) for w in self.new])
+        at = 0
+        ids, spans, base = [self.ids], [self.spans], len(self.ids)
+        while at < len(self.new):
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + WORD_CHARS, "right")))
+            found, offsets = self.words(self.new[at:to])
+            ids.append(found)
+            spans.append(np.stack([offsets[:-1] + base, np.diff(offsets)]))
+            base, at = base + len(found), to
+        self.chars += int(ends[-1]) if len(ends) else 0
+        self.ids, self.spans, self.new = np.concatenate(ids), np.concatenate(spans, axis=1), []
+        return self.ids, self.spans
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word (spaces as U+2581) and their offsets."""
@@ -153,6 +172,12 @@ class Pieces:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each text and their offsets; null counts as empty."""
+        self.make_room()
+        found = self.look_up(column)
+        return self.spell(self.learn(), *found)
+
+    def look_up(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number in memory of each word of the texts, and the offsets of the texts among these words."""
         texts = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), SPACE, " ")
         split = pc.split_pattern(texts, " ")
         tokens, bounds = split.values, split.offsets.to_numpy()
@@ -177,11 +202,15 @@ class Pieces:
         widths, width = np.unique(spaces, return_inverse=True)
         unique, back = np.unique(index[at] * len(widths) + width, return_inverse=True)
         words = [SPACE * int(widths[c % len(widths)]) + names[c // len(widths)] for c in unique.tolist()]
-        ids, offsets = self.known_words(words)
-        counts = np.diff(offsets)[back]
-        flat = ids[ragged(offsets[:-1][back], counts)]
-        per_row = np.bincount(row[at], counts, len(column)).astype(np.int64)
-        return flat, np.concatenate(([0], np.cumsum(per_row)))
+        per_row = np.bincount(row[at], minlength=len(column))
+        return self.slots(words)[back].astype(np.int32), np.concatenate(([0], np.cumsum(per_row)))
+
+    @staticmethod
+    def spell(learned: tuple[np.ndarray, np.ndarray], slots: np.ndarray, bounds: np.ndarray):
+        """Ids of each text and their offsets, from what ``learn`` and ``look_up`` returned."""
+        ids, (begin, size) = learned
+        counts = size[slots]
+        return ids[ragged(begin[slots], counts)], np.concatenate(([0], np.cumsum(counts)))[bounds]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """The text of each run of ids. Bytes that are no UTF-8 become U+FFFD."""
@@ -214,6 +243,17 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+def _spelled(vocabulary: Pieces, batches, text_col: str):
+    """``batches`` in pieces, each with the ids of its texts and their offsets."""
+    for part in text_chunks(batches, text_col, ENCODE_BYTES):
+        vocabulary.make_room()
+        pieces = list(text_chunks([part], text_col, SPELLED_BYTES))
+        found = [vocabulary.look_up(piece.column(text_col)) for piece in pieces]
+        learned = vocabulary.learn()
+        for piece, (slots, bounds) in zip(pieces, found):
+            yield piece, *vocabulary.spell(learned, slots, bounds)
+
+
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array, names: list[str]):
     held = dict(zip(batch.schema.names, batch.columns)) | {name: values}
     return pa.RecordBatch.from_arrays([held[n] for n in names], names=names)
@@ -231,9 +271,8 @@ def encode(docs: DataFrame, text_col: str = "text", to: str = "token_ids", model
 
     def work(batches):
         vocabulary = pieces(model)
-        for part in text_chunks(batches, text_col, ENCODE_BYTES):
+        for part, ids, offsets in _spelled(vocabulary, batches, text_col):
             column = part.column(text_col)
-            ids, offsets = vocabulary.encode(column)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             if column.null_count:
                 lists = pc.if_else(column.is_valid(), lists, pa.nulls(len(lists), lists.type))
@@ -272,9 +311,8 @@ def encode_and_check(docs: DataFrame, text_col: str = "text", to: str = "token_i
 
     def work(batches):
         vocabulary = pieces(model)
-        for part in text_chunks(batches, text_col, ENCODE_BYTES):
+        for part, ids, offsets in _spelled(vocabulary, batches, text_col):
             column = part.column(text_col)
-            ids, offsets = vocabulary.encode(column)
             texts = pc.replace_substring(pc.fill_null(column, ""), SPACE, " ")
             same = pc.equal(vocabulary.decode(ids, offsets), texts)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))

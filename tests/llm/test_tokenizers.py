@@ -1,6 +1,7 @@
 """Token counts and SentencePiece against the public libraries."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -79,6 +80,54 @@ def test_long_words_and_runs_of_spaces_as_the_libraries_have_them():
     assert op9.machine(path).counts(pa.array(texts))[1].tolist() == [len(e.ids) for e in encoded]
 
 
+def checked_batches(monkeypatch, docs, batches):
+    """What a worker of ``encode_and_check`` makes of ``batches``, in this process."""
+    held = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, schema: held.append(work))
+    op8.encode_and_check(docs)
+    return held[0](batches)
+
+
+def test_encoding_a_large_batch_takes_little_memory(spark, monkeypatch):
+    names = [f"word{i}" for i in range(5_000)]
+    rng = random.Random(4)
+    texts = pa.array([" ".join(rng.choices(names, k=250)) for _ in range(3_000)])
+    docs = spark.createDataFrame([], "text string")
+    op8.pieces(op8.model_path())
+    tracemalloc.start()
+    rows = 0
+    for part in checked_batches(monkeypatch, docs, [pa.RecordBatch.from_arrays([texts], names=["text"])]):
+        assert all(part.column("round_trip").to_pylist())
+        rows += part.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and texts.nbytes > 6 << 20 and peak < 48 << 20
+
+
+def test_ids_do_not_depend_on_pieces_and_memory(spark, monkeypatch):
+    texts = FIXED + random_texts(60, 2)
+    library = sentencepiece.SentencePieceProcessor(model_file=op8.model_path())
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    docs = spark.createDataFrame([], "text string")
+    for sizes in ((400, 2000, 300, 50, 1000), (50, 300, 20, 2, 5)):
+        for name, size in zip(("SPELLED_BYTES", "ENCODE_BYTES", "WORD_CHARS", "MEMO", "MEMO_CHARS"), sizes):
+            monkeypatch.setattr(op8, name, size)
+        rows = [r for part in checked_batches(monkeypatch, docs, [batch, batch]) for r in part.to_pylist()]
+        assert [r["text"] for r in rows] == texts * 2 and all(r["round_trip"] for r in rows)
+        assert [r["token_ids"] for r in rows] == [None if t is None else library.encode(t) for t in texts] * 2
+
+
+def test_memory_of_words_is_bounded():
+    """By their characters too, and without the words of a batch that was given up."""
+    pieces = op8.Pieces(op8.model_path())
+    for start in range(0, 600, 100):
+        pieces.encode(pa.array([f"{i}" * 10_000 for i in range(start, start + 100)]))
+        assert pieces.chars <= op8.MEMO_CHARS + 100 * 30_001
+    pieces.look_up(pa.array(["given up"]))
+    ids, _ = pieces.encode(pa.array(["given up"]))
+    assert pieces.decode(ids, np.array([0, len(ids)])).to_pylist() == ["given up"] and len(pieces.memo) == 2
+
+
 def test_chunks_of_a_long_word_equal_one_run():
     """Around every border of chunks, and with the chunks dealt in blocks."""
     lattice = op9.machine(public_tokenizers.path(op9.VOCABULARY)).lattice
