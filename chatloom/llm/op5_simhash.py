@@ -123,7 +123,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> Data
     points = prints.select("fp", F.posexplode(F.concat(_table_points(high, 0), _table_points(low, 1))).alias("place", "point"))
     points = points.select("fp", "point", (F.col("place") % 33 - 1).alias("bit"))
     met = materialize(points.groupBy("point").agg(F.count("*").alias("n")).where("n > 1"), "met")
-    found = materialize(points.join(met, "point"), "candidates")
+    # Spark sizes exploded rows like those before the explode and would broadcast them: they are always shuffled.
+    found = materialize(points.hint("merge").join(met, "point"), "candidates")
     few = found.where(F.col("n") <= meet)
     a = few.select("point", F.col("fp").alias("a"), F.col("bit").alias("bit_a"))
     b = few.select(F.col("point").alias("at"), F.col("fp").alias("b"), F.col("bit").alias("bit_b"))
@@ -135,7 +136,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> Data
     # Pairs near in the high half are left to the first table.
     far_high = F.bit_count(F.shiftrightunsigned(differ, 32)) > HIGH_BITS
     same = (F.col("point") == F.col("at")) & (F.col("a") != F.col("b")) & (F.bit_count(differ) <= max_bits)
-    near = a.join(b, same & (own | half_way) & (~in_low | far_high)).select("a", "b")
+    near = a.hint("merge").join(b, same & (own | half_way) & (~in_low | far_high)).select("a", "b")
     dense = found.where(F.col("n") > meet).select("fp").distinct()
     if dense.isEmpty():
         return near
@@ -143,7 +144,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, meet: int = MEET) -> Data
     spread = dense.select("fp", F.explode(masks).alias("mask"))
     spread = spread.select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("point"))
     least = spread.groupBy("point").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    stars = spread.join(materialize(least.select("point", "b"), "stars"), "point")
+    stars = spread.hint("merge").join(materialize(least.select("point", "b"), "stars"), "point")
     return near.union(stars.where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
 
 

@@ -159,6 +159,18 @@ def test_links_of_close_fingerprints(spark, meet):
     assert pairs(got) == pairs(want)
 
 
+@pytest.mark.parametrize("meet", [3, 256])
+def test_exploded_fingerprints_are_never_broadcast(spark, monkeypatch, meet):
+    plans, kept = {}, op5.materialize
+    text = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(op5, "materialize", lambda frame, name: plans.update({name: text(frame)}) or kept(frame, name))
+    frame = spark.createDataFrame([(1 << k,) for k in range(40)], "fp long")
+    plans["links"] = text(op5.links(frame, 4, meet))
+    assert "candidates" in plans and ("stars" in plans) == (meet == 3)
+    for name in ("candidates", "links"):
+        assert "SortMergeJoin" in plans[name] and "BroadcastExchange" not in plans[name]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 200), (301, 300), (300, 301)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
