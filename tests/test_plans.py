@@ -5,6 +5,8 @@ import pytest
 from chatloom.operators import censor_messages, compare_runs, latency_summary, load_rate, top_users
 from chatloom.plans import views
 from chatloom.plans.catalog import QUERIES
+from helpers import messages, texts
+from pyspark.sql import functions as F
 
 
 def plan(frame):
@@ -76,3 +78,13 @@ def test_no_registered_plan_needs_python_or_a_cross_join(spark, sf_dir):
         text = plan(query(spark, sf_dir))
         assert "Python" not in text and "InPandas" not in text, name
         assert "Cartesian" not in text and "NestedLoop" not in text, name
+
+
+def test_a_large_lexicon_is_not_written_out_in_plans(spark):
+    words = spark.range(5000).select(F.format_string("qqzzxx%d", "id").alias("word"))
+    phrase = spark.createDataFrame([("qqzzxx1 qqzzxx2",), ("Scum \x01\x02",)], "word string")
+    rows = messages(spark, ["a Qqzzxx4999 b", "qqzzxx5000", "qqzzxx1 qqzzxx2", "x scum \x01\x02", None])
+    masked = censor_messages(rows, words.union(phrase), max_pattern_chars=0)
+    query = masked._jdf.queryExecution()
+    assert "qqzzxx" not in query.toString() + query.executedPlan().treeString()
+    assert texts(masked) == ["a *** b", "qqzzxx5000", "***", "x ***", None]
