@@ -166,3 +166,24 @@ def test_a_long_log_of_a_channel_is_searched_in_nodes(spark, monkeypatch, limit)
     levels, leaves, total = selection._tree(log)
     assert len(levels) == 3 and total == 102
     assert max(len(row["_starts"]) for frame in [*levels, leaves] for row in frame.collect()) == 4
+
+
+def test_compaction_goes_by_rounds_and_shuffles_nothing(spark, stored, monkeypatch):
+    before, seen, real = ids(read_messages(spark, str(stored))), [], layout.finish_compaction
+    size = max(p.stat().st_size for p in stored.glob("sent_date=*/batch_id=*/*.parquet"))
+
+    def watched(session, path):
+        seen.append(sorted(p.name for p in (stored / "_compaction" / "new").glob("sent_date=*")))
+        real(session, path)
+
+    frames, pack = [], layout._pack
+    monkeypatch.setattr(layout, "_pack", lambda *args: frames.append(pack(*args)) or frames[-1])
+    monkeypatch.setattr(layout, "finish_compaction", watched)
+    monkeypatch.setattr(layout, "ROUND_BINS", 1)
+    assert compact_messages(spark, str(stored), date(2024, 1, 3), target_bytes=2 * size) == ["2024-01-01", "2024-01-02"]
+    assert [x for x in seen if x] == [["sent_date=2024-01-01"], ["sent_date=2024-01-02"]]
+    assert ids(read_messages(spark, str(stored))) == before
+    for frame, day in zip(frames, (1, 2)):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+        held = sorted(p.name for p in (stored / f"sent_date=2024-01-0{day}" / "batch_id=-4").iterdir() if not p.name.startswith("."))
+        assert len(held) == 2 and all(name.endswith(".parquet") for name in held)
